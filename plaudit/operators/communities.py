@@ -1,13 +1,14 @@
 """Community detection by greedy modularity (after Blondel et al. 2008), in rounds.
 
-Vertices decide simultaneously instead of one after the other, so only about half
-of them may move in a round; the result is a modularity maximum of the same kind,
-not the same partition a sequential run would print.
+Vertices decide simultaneously instead of one after the other.  In each round half
+of the communities, drawn by hash, may be left and only the other half may be
+joined, so no vertex follows a neighbour that is moving away itself.  The result is
+a modularity maximum of the same kind, not the partition of a sequential run.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from plaudit.operators.skew import HotKeys, salted_join
 from plaudit.session import cut_lineage
@@ -18,20 +19,19 @@ def modularity(edges: DataFrame, membership: DataFrame) -> float:
     side = membership.select(F.col("id").alias("src"), F.col("community").alias("c_src"))
     other = membership.select(F.col("id").alias("dst"), F.col("community").alias("c_dst"))
     marked = edges.join(side, "src").join(other, "dst")
-    return _modularity(
-        marked.groupBy(F.col("c_src").alias("community")).agg(
+    row = (
+        marked.groupBy(F.col("c_src").alias("community"))
+        .agg(
             F.sum("w").alias("total"),
             F.sum(F.when(F.col("c_src") == F.col("c_dst"), F.col("w")).otherwise(0.0)).alias("inner"),
         )
+        .agg(
+            F.sum("total").alias("m2"),
+            F.sum("inner").alias("inner"),
+            F.sum(F.col("total") * F.col("total")).alias("squares"),
+        )
+        .first()
     )
-
-
-def _modularity(sums: DataFrame) -> float:
-    row = sums.agg(
-        F.sum("total").alias("m2"),
-        F.sum("inner").alias("inner"),
-        F.sum(F.col("total") * F.col("total")).alias("squares"),
-    ).first()
     if not row["m2"]:
         return 0.0
     return row["inner"] / row["m2"] - row["squares"] / (row["m2"] * row["m2"])
@@ -43,16 +43,19 @@ def louvain(
     levels: int = 10,
     rounds: int = 20,
     tolerance: float = 1e-4,
+    round_tolerance: float = 2e-3,
     **hot_limits,
 ) -> DataFrame:
     """`id`, `community` for every vertex; a community is named by one of its members.
 
     `edges` holds both directions of every undirected edge as `src`, `dst`, `w`.
+    Levels go on until one gains less than `tolerance`; inside a level a round that
+    gains less than `round_tolerance` ends it, as the next level moves whole groups.
     """
     membership = cut_lineage(vertices.select("id", F.col("id").alias("community")), "membership")
     graph = cut_lineage(edges.groupBy("src", "dst").agg(F.sum("w").alias("w")), "edges")
     for _ in range(levels):
-        moved, gained = _local_moves(graph, rounds, tolerance, hot_limits)
+        moved, gained = _local_moves(graph, rounds, round_tolerance, hot_limits)
         if moved is None:
             break
         step = moved.select(F.col("id").alias("community"), F.col("community").alias("merged"))
@@ -80,82 +83,103 @@ def _local_moves(
 ) -> tuple[DataFrame | None, float]:
     """Move vertices between neighbouring communities until modularity stops rising.
 
-    Returns the best assignment found (None if nothing moved) and its gain.
+    Returns the best assignment found (None if nothing was gained) and its gain.
+    Every round is one job: the table it writes also holds what the modularity of
+    the assignment it started from needs.
     """
     spread = HotKeys.find(graph, "dst", **hot_limits)
-    nodes = cut_lineage(
+    between = graph.filter(F.col("src") != F.col("dst"))
+    homes = cut_lineage(
         graph.groupBy(F.col("src").alias("id")).agg(
             F.sum("w").alias("k"),
             F.sum(F.when(F.col("src") == F.col("dst"), F.col("w")).otherwise(0.0)).alias("loop"),
+            F.first("src").alias("community"),
         ),
         "nodes",
-    ).withColumn("community", F.col("id"))
-    m2 = nodes.agg(F.sum("k")).first()[0]
+    )
+    m2 = homes.agg(F.sum("k")).first()[0]
     if not m2:
         return None, 0.0
-    alone = nodes.select("community", F.col("k").alias("total"), F.col("loop").alias("inner"))
-    start = best_score = _modularity(alone)
-    best = None
-    stalled = 0
-    for round_number in range(rounds):
-        homes = nodes.select("id", "community")
-        links = (
-            spread.join(
-                graph.filter(F.col("src") != F.col("dst")), homes, ["src"], lookup_key="id"
-            )
-            .groupBy(F.col("src").alias("id"), "community")
-            .agg(F.sum("w").alias("links"))
-        )
-        totals = nodes.groupBy("community").agg(F.sum("k").alias("total"))
-        own = nodes.select("id", "k", "loop", F.col("community").alias("home"))
-        # A vertex may stay where it has no neighbour, so its home is always a candidate.
-        candidates = links.unionByName(homes.withColumn("links", F.lit(0.0)))
-        candidates = candidates.groupBy("id", "community").agg(F.sum("links").alias("links"))
-        scored = (
-            salted_join(candidates, totals, "community", ["id"])
-            .join(own, "id")
-            .withColumn("is_home", F.col("community") == F.col("home"))
-            .withColumn(
-                "gain",
-                F.col("links")
-                - F.col("k")
-                * (F.col("total") - F.when(F.col("is_home"), F.col("k")).otherwise(0.0))
-                / F.lit(m2),
-            )
-        )
-        choice = scored.groupBy("id").agg(
-            F.first("k").alias("k"),
-            F.first("loop").alias("loop"),
-            F.first("home").alias("home"),
-            F.max(F.when(F.col("is_home"), F.col("gain"))).alias("stay"),
-            # Highest gain, then the smallest name.
-            F.min(F.struct((-F.col("gain")).alias("loss"), "community")).alias("pick"),
-        )
-        turn = F.pmod(F.xxhash64("id", F.lit(round_number // 2)), F.lit(2)) == round_number % 2
-        moves = (-F.col("pick.loss") > F.col("stay") + 1e-9) & turn
-        nodes = cut_lineage(
-            choice.select(
-                "id",
-                "k",
-                "loop",
-                F.when(moves, F.col("pick.community")).otherwise(F.col("home")).alias("community"),
-                moves.alias("moved"),
-            ),
-            "nodes",
-        )
-        changed = nodes.filter("moved").count()
-        nodes = nodes.drop("moved")
-        if changed:
-            score = modularity(graph, nodes.select("id", "community"))
-            if score > best_score + tolerance:
-                best, best_score, stalled = nodes, score, 0
-                continue
+    best, best_score, start, stalled = None, None, None, 0
+    for round_number in range(rounds + 1):
+        result = cut_lineage(_one_round(between, homes, spread, m2, round_number), "nodes")
+        summary = result.agg(
+            F.sum(F.col("home_links") + F.col("loop")).alias("inner"),
+            F.sum(F.col("k") * F.col("home_total")).alias("squares"),
+        ).first()
+        score = summary["inner"] / m2 - summary["squares"] / (m2 * m2)
+        if best is None:
+            best, best_score, start = homes, score, score
+        elif score > best_score + tolerance:
+            best, best_score, stalled = homes, score, 0
+        else:
             if score > best_score:
-                best, best_score = nodes, score
-        # Two rounds let both halves of the vertices have their turn.
-        stalled += 1
+                best, best_score = homes, score
+            # The next draw may let others move.
+            stalled += 1
         if stalled >= 2:
             break
-    if best is None:
+        homes = result.select("id", "k", "loop", "community")
+    if best_score <= start:
         return None, 0.0
     return best.select("id", "community"), best_score - start
+
+
+def _one_round(
+    between: DataFrame, homes: DataFrame, spread: HotKeys, m2: float, round_number: int
+) -> DataFrame:
+    """Best open community of every vertex; those that gain by it and may leave move."""
+    names = homes.select("id", "community")
+    links = (
+        spread.join(between, names, ["src"], lookup_key="id")
+        .groupBy(F.col("src").alias("id"), "community")
+        .agg(F.sum("w").alias("links"))
+    )
+    # A vertex may stay where it has no neighbour, so its home is always a candidate.
+    candidates = (
+        links.unionByName(names.withColumn("links", F.lit(0.0)))
+        .groupBy("id", "community")
+        .agg(F.sum("links").alias("links"))
+    )
+    totals = homes.groupBy("community").agg(F.sum("k").alias("total"))
+    own = homes.select("id", "k", "loop", F.col("community").alias("home"))
+    at_home = F.col("community") == F.col("home")
+    rest = F.col("total") - F.when(at_home, F.col("k")).otherwise(0.0)
+    scored = (
+        salted_join(candidates, totals, "community", ["id"])
+        .join(own, "id")
+        .withColumn("gain", F.col("links") - F.col("k") * rest / F.lit(m2))
+    )
+
+    def home_value(column: str):
+        return F.max(F.when(at_home, F.col(column)))
+
+    choice = scored.groupBy("id").agg(
+        F.first("k").alias("k"),
+        F.first("loop").alias("loop"),
+        F.first("home").alias("home"),
+        home_value("gain").alias("stay"),
+        home_value("links").alias("home_links"),
+        home_value("total").alias("home_total"),
+        # Highest gain, then the smallest name.
+        F.min(
+            F.when(
+                _is_open(F.col("community"), round_number),
+                F.struct((-F.col("gain")).alias("loss"), "community"),
+            )
+        ).alias("pick"),
+    )
+    gains = F.coalesce(-F.col("pick.loss") > F.col("stay") + 1e-9, F.lit(False))
+    moves = gains & ~_is_open(F.col("home"), round_number)
+    return choice.select(
+        "id",
+        "k",
+        "loop",
+        "home_links",
+        "home_total",
+        F.when(moves, F.col("pick.community")).otherwise(F.col("home")).alias("community"),
+    )
+
+
+def _is_open(community: Column, round_number: int) -> Column:
+    return F.pmod(F.xxhash64(community, F.lit(round_number)), F.lit(2)) == 1

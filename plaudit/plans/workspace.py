@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from plaudit.functions.texts import code_points
 from plaudit.operators import graph as g
 from plaudit.operators.cleaning import add_tip_counts, checkin_stats, clean_businesses, clean_users
+from plaudit.plans.network import friend_communities
 from plaudit.session import cut_lineage
 
 _OPEN: dict[tuple[str, str], Workspace] = {}
@@ -184,3 +185,8 @@ class Workspace:
     def graph(self) -> g.Graph:
         built = g.Graph.build(self.businesses, self.users, self.reviews, self.tips)
         return g.Graph(**{name: cut_lineage(table, name) for name, table in built.tables().items()})
+
+    @cached_property
+    def communities(self) -> DataFrame:
+        """Community of every user, stored like a vertex property."""
+        return cut_lineage(friend_communities(self.graph), "communities")
