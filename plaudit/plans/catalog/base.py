@@ -117,6 +117,11 @@ def with_entities(sql: str) -> str:
     return f"WITH {ctes}\n{body}"
 
 
+def half_up_sql(value: str, digits: int) -> str:
+    """Half-up rounding of the decimal a double prints as, not of its binary neighbour."""
+    return f"CAST(round(CAST({value} AS DECIMAL(24, 12)), {digits}) AS DOUBLE)"
+
+
 def query(name: str, sql: str | None = None):
     """Register a function from a workspace to a DataFrame under a name."""
 

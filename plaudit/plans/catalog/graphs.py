@@ -6,7 +6,7 @@ from plaudit.functions.numbers import half_up
 from plaudit.operators import centrality, communities, embedding, graph as g
 from plaudit.operators.similarity import audience_similarity
 from plaudit.plans import links, network as n
-from plaudit.plans.catalog.base import query
+from plaudit.plans.catalog.base import half_up_sql, query
 from plaudit.plans.catalog.reports import ends_sql
 
 # -- vertices and edges --------------------------------------------------------------
@@ -293,9 +293,10 @@ def _(w):
 
 @query(
     "category_fans",
-    """SELECT u.user_id AS "UserID", u.name AS "Name", f.n AS "CategoryReviewCount",
-              round(f.mean, 2) AS "CategoryMean", round(u.average_stars, 2) AS "OverallMean",
-              round(f.mean - u.average_stars, 2) AS "RatingDifference"
+    f"""SELECT u.user_id AS "UserID", u.name AS "Name", f.n AS "CategoryReviewCount",
+              {half_up_sql('f.mean', 2)} AS "CategoryMean",
+              {half_up_sql('u.average_stars', 2)} AS "OverallMean",
+              {half_up_sql('f.mean - u.average_stars', 2)} AS "RatingDifference"
        FROM (SELECT r.user_id, count(DISTINCT r.business_id) AS n, avg(r.stars) AS mean
              FROM reviews r JOIN in_category c ON c.business_id = r.business_id
              WHERE c.category = 'ECONOMY' GROUP BY 1 HAVING count(DISTINCT r.business_id) >= 5) f
@@ -307,8 +308,9 @@ def _(w):
 
 @query(
     "safest_categories_graph",
-    """SELECT c.category AS "Category", count(*) AS "NumBusinesses",
-              CAST(sum(b.review_count) AS BIGINT) AS "TotalReviews", round(avg(b.stars), 2) AS "AvgRating"
+    f"""SELECT c.category AS "Category", count(*) AS "NumBusinesses",
+              CAST(sum(b.review_count) AS BIGINT) AS "TotalReviews",
+              {half_up_sql('avg(b.stars)', 2)} AS "AvgRating"
        FROM in_category c JOIN businesses b ON b.business_id = c.business_id
        GROUP BY 1 HAVING sum(b.review_count) > 2000
        ORDER BY "AvgRating" DESC, "Category" LIMIT 10""",

@@ -15,6 +15,7 @@ from plaudit.functions.texts import code_points
 from plaudit.operators import graph as g
 from plaudit.operators.cleaning import add_tip_counts, checkin_stats, clean_businesses, clean_users
 from plaudit.plans.network import friend_communities
+from plaudit.plans.usefulness import usefulness_features
 from plaudit.session import cut_lineage
 
 _OPEN: dict[tuple[str, str], Workspace] = {}
@@ -190,3 +191,8 @@ class Workspace:
     def communities(self) -> DataFrame:
         """Community of every user, stored like a vertex property."""
         return cut_lineage(friend_communities(self.graph), "communities")
+
+    @cached_property
+    def usefulness_features(self) -> DataFrame:
+        """Feature rows of the usefulness model, shared by training and evaluation."""
+        return cut_lineage(usefulness_features(self.reviews, self.users, self.graph), "features")
