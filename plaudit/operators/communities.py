@@ -130,14 +130,12 @@ def _one_round(
 ) -> DataFrame:
     """Best open community of every vertex; those that gain by it and may leave move."""
     names = homes.select("id", "community")
-    links = (
-        spread.join(between, names, ["src"], lookup_key="id")
-        .groupBy(F.col("src").alias("id"), "community")
-        .agg(F.sum("w").alias("links"))
+    met = spread.join(between, names, ["src"], lookup_key="id").select(
+        F.col("src").alias("id"), "community", F.col("w").alias("links")
     )
     # A vertex may stay where it has no neighbour, so its home is always a candidate.
     candidates = (
-        links.unionByName(names.withColumn("links", F.lit(0.0)))
+        met.unionByName(names.withColumn("links", F.lit(0.0)))
         .groupBy("id", "community")
         .agg(F.sum("links").alias("links"))
     )

@@ -42,6 +42,8 @@ def sample_rows(df: DataFrame, key: Sequence[str], n: int | None, seed: int = 42
     """
     if n is None:
         return df
+    if n <= 0:
+        return df.limit(0)
     hashed = _with_digest(df, key, seed)
     whole = hashed.withColumn("__all", F.lit(0))
     cut = _cuts(whole, ["__all"], F.lit(n)).first()
