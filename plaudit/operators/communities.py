@@ -8,7 +8,9 @@ a modularity maximum of the same kind, not the partition of a sequential run.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from collections.abc import Iterable
+
+from pyspark.sql import DataFrame, functions as F
 
 from plaudit.operators.skew import HotKeys, salted_join
 from plaudit.session import cut_lineage
@@ -41,7 +43,7 @@ def louvain(
     vertices: DataFrame,
     edges: DataFrame,
     levels: int = 10,
-    rounds: int = 20,
+    rounds: int = 8,
     tolerance: float = 1e-4,
     round_tolerance: float = 2e-3,
     **hot_limits,
@@ -54,8 +56,10 @@ def louvain(
     """
     membership = cut_lineage(vertices.select("id", F.col("id").alias("community")), "membership")
     graph = cut_lineage(edges.groupBy("src", "dst").agg(F.sum("w").alias("w")), "edges")
-    for _ in range(levels):
-        moved, gained = _local_moves(graph, rounds, round_tolerance, hot_limits)
+    for level in range(levels):
+        # Other draws on every level, as contracted communities keep their names.
+        draws = range(level * (rounds + 1), (level + 1) * (rounds + 1))
+        moved, gained = _local_moves(graph, draws, round_tolerance, hot_limits)
         if moved is None:
             break
         step = moved.select(F.col("id").alias("community"), F.col("community").alias("merged"))
@@ -79,7 +83,7 @@ def louvain(
 
 
 def _local_moves(
-    graph: DataFrame, rounds: int, tolerance: float, hot_limits: dict
+    graph: DataFrame, draws: Iterable[int], tolerance: float, hot_limits: dict
 ) -> tuple[DataFrame | None, float]:
     """Move vertices between neighbouring communities until modularity stops rising.
 
@@ -101,8 +105,8 @@ def _local_moves(
     if not m2:
         return None, 0.0
     best, best_score, start, stalled = None, None, None, 0
-    for round_number in range(rounds + 1):
-        result = cut_lineage(_one_round(between, homes, spread, m2, round_number), "nodes")
+    for draw in draws:
+        result = cut_lineage(_one_round(between, homes, spread, m2, draw), "nodes")
         summary = result.agg(
             F.sum(F.col("home_links") + F.col("loop")).alias("inner"),
             F.sum(F.col("k") * F.col("home_total")).alias("squares"),
@@ -125,59 +129,44 @@ def _local_moves(
     return best.select("id", "community"), best_score - start
 
 
-def _one_round(
-    between: DataFrame, homes: DataFrame, spread: HotKeys, m2: float, round_number: int
-) -> DataFrame:
-    """Best open community of every vertex; those that gain by it and may leave move."""
-    names = homes.select("id", "community")
-    met = spread.join(between, names, ["src"], lookup_key="id").select(
-        F.col("src").alias("id"), "community", F.col("w").alias("links")
-    )
-    # A vertex may stay where it has no neighbour, so its home is always a candidate.
-    candidates = (
-        met.unionByName(names.withColumn("links", F.lit(0.0)))
-        .groupBy("id", "community")
-        .agg(F.sum("links").alias("links"))
-    )
-    totals = homes.groupBy("community").agg(F.sum("k").alias("total"))
-    own = homes.select("id", "k", "loop", F.col("community").alias("home"))
-    at_home = F.col("community") == F.col("home")
-    rest = F.col("total") - F.when(at_home, F.col("k")).otherwise(0.0)
-    scored = (
-        salted_join(candidates, totals, "community", ["id"])
-        .join(own, "id")
-        .withColumn("gain", F.col("links") - F.col("k") * rest / F.lit(m2))
-    )
-
-    def home_value(column: str):
-        return F.max(F.when(at_home, F.col(column)))
-
-    choice = scored.groupBy("id").agg(
-        F.first("k").alias("k"),
-        F.first("loop").alias("loop"),
-        F.first("home").alias("home"),
-        home_value("gain").alias("stay"),
-        home_value("links").alias("home_links"),
-        home_value("total").alias("home_total"),
-        # Highest gain, then the smallest name.
-        F.min(
-            F.when(
-                _is_open(F.col("community"), round_number),
-                F.struct((-F.col("gain")).alias("loss"), "community"),
-            )
-        ).alias("pick"),
-    )
-    gains = F.coalesce(-F.col("pick.loss") > F.col("stay") + 1e-9, F.lit(False))
-    moves = gains & ~_is_open(F.col("home"), round_number)
-    return choice.select(
-        "id",
-        "k",
-        "loop",
-        "home_links",
-        "home_total",
-        F.when(moves, F.col("pick.community")).otherwise(F.col("home")).alias("community"),
-    )
+# Best open community of every vertex; those that gain by it and may leave move.
+# Half of the communities, by hash of name and draw, are open: they may be joined but
+# not left.  A vertex may stay where it has no neighbour, so its home is always a
+# candidate.  Totals are few next to the candidates and a community may hold a large
+# part of the vertices, hence the salt on that join.
+ROUND = """
+    WITH candidates AS (
+        SELECT id, community, sum(links) AS links
+        FROM (SELECT src AS id, community, w AS links FROM {met}
+              UNION ALL SELECT id, community, 0D FROM {homes})
+        GROUP BY id, community),
+    totals AS (
+        SELECT community, total, explode(sequence(0, 15)) AS salt
+        FROM (SELECT community, sum(k) AS total FROM {homes} GROUP BY community)),
+    scored AS (
+        SELECT c.id, c.community, c.links, t.total, h.k, h.loop, h.community AS home,
+               c.community = h.community AS stays,
+               pmod(xxhash64(c.community, {draw}), 2) = 1 AS open,
+               c.links - h.k * (t.total - if(c.community = h.community, h.k, 0D)) / {m2} AS gain
+        FROM candidates c
+             JOIN totals t ON t.community = c.community AND t.salt = pmod(xxhash64(c.id), 16)
+             JOIN {homes} h ON h.id = c.id),
+    choices AS (
+        SELECT id, first(k) AS k, first(loop) AS loop, first(home) AS home,
+               max(if(stays, gain, NULL)) AS stay_gain,
+               max(if(stays, links, NULL)) AS home_links,
+               max(if(stays, total, NULL)) AS home_total,
+               bool_or(stays AND open) AS home_open,
+               min(if(open, struct(-gain AS loss, community), NULL)) AS pick
+        FROM scored GROUP BY id)
+    SELECT id, k, loop, home_links, home_total,
+           if(coalesce(-pick.loss > stay_gain + 1e-9, false) AND NOT home_open,
+              pick.community, home) AS community
+    FROM choices"""
 
 
-def _is_open(community: Column, round_number: int) -> Column:
-    return F.pmod(F.xxhash64(community, F.lit(round_number)), F.lit(2)) == 1
+def _one_round(
+    between: DataFrame, homes: DataFrame, spread: HotKeys, m2: float, draw: int
+) -> DataFrame:
+    met = spread.join(between, homes.select("id", "community"), ["src"], lookup_key="id")
+    return homes.sparkSession.sql(ROUND, met=met, homes=homes, m2=m2, draw=draw)

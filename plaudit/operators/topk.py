@@ -68,16 +68,24 @@ def most_frequent(df: DataFrame, groups: Sequence[str], item: str) -> DataFrame:
     return mode_of_counts(counts, groups, item)
 
 
-def mode_of_counts(counts: DataFrame, groups: Sequence[str], item: str) -> DataFrame:
-    """Mode per group of a frequency table with the columns `item` and `n`."""
+def mode_of_counts(
+    counts: DataFrame, groups: Sequence[str], item: str, sums: Sequence[str] = ()
+) -> DataFrame:
+    """Mode per group of a frequency table with the columns `item` and `n`.
+
+    Columns named in `sums` are added up per group alongside.
+    """
     leader = F.min(F.struct((-F.col("n")).alias("rank"), F.col(item)))
     return (
         counts.groupBy(*groups)
-        .agg(F.sum("n").alias("n_total"), leader.alias("leader"))
+        .agg(
+            F.sum("n").alias("n_total"), leader.alias("leader"), *[F.sum(c).alias(c) for c in sums]
+        )
         .select(
             *groups,
             F.col(f"leader.{item}").alias(item),
             (-F.col("leader.rank")).alias("n_item"),
             "n_total",
+            *sums,
         )
     )

@@ -17,7 +17,7 @@ from plaudit.operators.centrality import friend_degree
 from plaudit.operators.graph import project
 from plaudit.operators.ranking import exact_percentiles, spearman
 from plaudit.operators.sampling import sample_rows
-from plaudit.operators.skew import hot_key_join
+from plaudit.operators.skew import HotKeys, hot_key_join
 from plaudit.operators.topk import both_ends, most_frequent, top_k, top_per_group
 from plaudit.plans import network
 from plaudit.plans.catalog.base import half_up_sql, query
@@ -216,12 +216,10 @@ def _(w):
        JOIN businesses b ON b.business_id = r.business_id JOIN users u ON u.user_id = r.user_id""",
 )
 def _(w):
-    placed = hot_key_join(
-        w.reviews, w.businesses.select("business_id", "city"), "business_id", ["review_id"]
-    )
-    return hot_key_join(
-        placed, w.users.select("user_id", "is_elite_ever"), "user_id", ["review_id"]
-    ).select("review_id", "city", "is_elite_ever")
+    by_shop, by_user = HotKeys.find(w.reviews, "business_id"), HotKeys.find(w.reviews, "user_id")
+    placed = by_shop.join(w.reviews, w.businesses.select("business_id", "city"), ["review_id"])
+    written = by_user.join(placed, w.users.select("user_id", "is_elite_ever"), ["review_id"])
+    return written.select("review_id", "city", "is_elite_ever")
 
 
 @query(

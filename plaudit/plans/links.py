@@ -14,7 +14,7 @@ from plaudit.operators.embedding import fast_rp, hadamard
 from plaudit.operators.graph import Graph, project, with_epoch
 from plaudit.operators.ranking import exact_percentiles
 from plaudit.operators.sampling import dense_index, sample_rows
-from plaudit.operators.skew import hot_key_join
+from plaudit.operators.skew import HotKeys
 from plaudit.operators.topk import top_per_group
 from plaudit.session import cut_lineage
 
@@ -70,8 +70,9 @@ def pair_features(pairs: DataFrame, vectors: DataFrame) -> DataFrame:
     """Attach the elementwise product of both ends' embeddings as an ML vector."""
     user = vectors.select(F.col("id").alias("user_id"), F.col("embedding").alias("left"))
     shop = vectors.select(F.col("id").alias("business_id"), F.col("embedding").alias("right"))
-    once = hot_key_join(pairs, user, "user_id", ["business_id"])
-    both = hot_key_join(once, shop, "business_id", ["user_id"])
+    pairs = cut_lineage(pairs, "pairs")
+    by_user, by_shop = HotKeys.find(pairs, "user_id"), HotKeys.find(pairs, "business_id")
+    both = by_shop.join(by_user.join(pairs, user, ["business_id"]), shop, ["user_id"])
     return both.withColumn("features", array_to_vector(hadamard("left", "right"))).drop("left", "right")
 
 

@@ -12,7 +12,7 @@ from plaudit.operators.communities import louvain
 from plaudit.operators.graph import Graph, project
 from plaudit.operators.ranking import spearman
 from plaudit.operators.similarity import audience_similarity
-from plaudit.operators.skew import hot_key_join
+from plaudit.operators.skew import hot_key_join, salted_join
 from plaudit.operators.topk import both_ends, mode_of_counts, top_k, top_per_group
 from plaudit.session import cut_lineage
 
@@ -58,7 +58,8 @@ def top3_by_state(
         # cut down before its states are attached.
         finalists = top_per_group(placed, ["city"], "stars", ["business_id"], k, place="in_city")
         spots = finalists.join(graph.part_of, "city")
-    best = top_per_group(spots, ["state"], "stars", ["business_id"], k)
+    # k rows per state, needed twice.
+    best = cut_lineage(top_per_group(spots, ["state"], "stars", ["business_id"], k), "best")
     labels = (
         graph.in_category.join(best.select("business_id").distinct(), "business_id", "left_semi")
         .groupBy("business_id")
@@ -226,23 +227,23 @@ def community_geo(
     `size_on` names the one that must reach `min_size`.
     """
     states = graph.located_in.join(graph.part_of, "city").select("business_id", "state")
-    # A user leaves this step with at most one row per state.
+    # A user leaves this step as one row with a short list, one entry per state.
     per_user = (
         hot_key_join(graph.reviewed, states, "business_id", ["review_id"], **hot_limits)
         .groupBy("user_id", "state")
         .agg(F.count(F.lit(1)).alias("n"))
+        .groupBy("user_id")
+        .agg(F.collect_list(F.struct("state", "n")).alias("visits"))
     )
-    placed = per_user.join(communities, "user_id")
-    members = (
-        placed.select("community", "user_id")
-        .distinct()
-        .groupBy("community")
-        .agg(F.count(F.lit(1)).alias("n_members"))
+    # The first entry of a user's list stands for the user as a member.
+    by_state = (
+        per_user.join(communities, "user_id")
+        .select("community", F.posexplode("visits").alias("nth", "visit"))
+        .groupBy("community", F.col("visit.state").alias("state"))
+        .agg(F.sum("visit.n").alias("n"), F.count_if(F.col("nth") == 0).alias("n_members"))
     )
-    by_state = placed.groupBy("community", "state").agg(F.sum("n").alias("n"))
     shaped = (
-        mode_of_counts(by_state, ["community"], "state")
-        .join(members, "community")
+        mode_of_counts(by_state, ["community"], "state", ["n_members"])
         .select(
             F.col("community").alias("CommunityID"),
             F.col("n_total").alias("n_reviews"),
@@ -308,8 +309,8 @@ def market_saturation(
     second = labels.select(F.col("business_id").alias("other"), F.col("labels").alias("theirs"))
     counted = "name" if distinct_on == "name" else "item"
     each = (
-        pairs.join(first, "item")
-        .join(second, "other")
+        # A small audience can be the nearest of very many others.
+        salted_join(pairs.join(first, "item"), second, "other", ["item"])
         .withColumn("category", F.explode(F.array_intersect("mine", "theirs")))
         .groupBy("group", "category", counted)
         .agg(F.sum("similarity").alias("similarity"), F.count(F.lit(1)).alias("n"))

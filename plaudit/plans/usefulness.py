@@ -16,7 +16,7 @@ from plaudit.functions.times import days_between
 from plaudit.operators.centrality import business_pagerank, friend_degree
 from plaudit.operators.graph import Graph
 from plaudit.operators.sampling import dense_index, sample_rows, stratified_split
-from plaudit.operators.skew import hot_key_join
+from plaudit.operators.skew import HotKeys
 from plaudit.session import cut_lineage
 
 # Names and bins of the model.  Fixed values; a bin holds its upper edge.
@@ -81,8 +81,11 @@ def usefulness_features(
         F.col("stars").alias("review_stars"),
         F.coalesce(review_length(reviews), F.lit(0)).alias("review_length"),
     )
-    written = hot_key_join(facts, authors, "user_id", ["review_id"], **hot_limits)
-    rated = hot_key_join(written, ranks, "business_id", ["review_id"], "left", **hot_limits)
+    # Both columns are measured on the stored reviews, before anything is joined.
+    by_user = HotKeys.find(facts, "user_id", **hot_limits)
+    by_business = HotKeys.find(facts, "business_id", **hot_limits)
+    written = by_user.join(facts, authors, ["review_id"])
+    rated = by_business.join(written, ranks, ["review_id"], "left")
     return (
         rated.withColumn("user_tenure_days", days_between(F.col("yelping_since"), F.col("date")))
         .withColumn("is_elite_at_review", elite_at(F.col("elite_years"), F.col("date")))
