@@ -11,11 +11,15 @@ from plaudit.session import cut_lineage
 
 
 def sign_vector(key: Column, dimension: int, seed: int) -> Column:
-    """Sparse random signs from a hash of the key: two thirds zeros, the rest +-sqrt(3/d)."""
+    """Sparse random signs from a hash of the key: two thirds zeros, the rest +-sqrt(3/d).
+
+    MD5 makes the signs reproducible in any SQL engine.
+    """
     size = (3.0 / dimension) ** 0.5
 
     def entry(place: Column) -> Column:
-        draw = F.pmod(F.xxhash64(key, F.lit(seed), place), F.lit(6))
+        text = F.md5(F.concat_ws("|", F.lit(str(seed)), key.cast("string"), place.cast("string")))
+        draw = F.pmod(F.conv(F.substring(text, 1, 7), 16, 10).cast("long"), F.lit(6))
         return F.when(draw == 0, F.lit(size)).when(draw == 1, F.lit(-size)).otherwise(F.lit(0.0))
 
     return F.transform(F.sequence(F.lit(0), F.lit(dimension - 1)), entry)

@@ -201,19 +201,82 @@ def _(w):
     )
 
 
-@query("sampled_betweenness")
+# Breadth-first levels with path counts, then dependencies from the last level back.
+BETWEENNESS = """
+    steps AS (SELECT user_id AS src, friend_id AS dst FROM friend_ends),
+    bfs(source, node, level, paths) USING KEY (source, node) AS (
+        SELECT id, id, 0, CAST(1 AS DOUBLE)
+        FROM (SELECT user_id AS id FROM users ORDER BY md5('42|' || user_id), user_id LIMIT 250)
+        UNION
+        SELECT b.source, e.dst, b.level + 1, sum(b.paths)
+        FROM bfs b JOIN steps e ON e.src = b.node
+        WHERE NOT EXISTS (SELECT 1 FROM recurring.bfs r WHERE r.source = b.source AND r.node = e.dst)
+        GROUP BY b.source, e.dst, b.level),
+    back(source, node, level, delta, paths) AS (
+        SELECT source, node, level, CAST(0 AS DOUBLE), paths FROM bfs
+        WHERE level = (SELECT max(level) FROM bfs)
+        UNION ALL
+        SELECT v.source, v.node, v.level, v.paths * coalesce(c.share, 0), v.paths
+        FROM bfs v LEFT JOIN (
+            SELECT w.source, e.src AS node, sum((1 + w.delta) / w.paths) AS share
+            FROM back w JOIN steps e ON e.dst = w.node GROUP BY 1, 2) c
+          ON c.source = v.source AND c.node = v.node
+        WHERE v.level = (SELECT max(level) FROM back) - 1),
+    central AS (
+        SELECT u.user_id AS id, coalesce(sum(CASE WHEN k.level > 0 THEN k.delta END), 0) / 2 AS score
+        FROM users u LEFT JOIN back k ON k.node = u.user_id GROUP BY 1)"""
+
+
+@query(
+    "sampled_betweenness",
+    f"""SELECT * FROM (WITH RECURSIVE {BETWEENNESS}
+        SELECT id, round(score, 6) + 0.0 AS score FROM central)""",
+)
 def _(w):
     vertices = w.graph.user.select(F.col("user_id").alias("id"))
     edges = g.project(w.graph.friends_with, "user_id", "friend_id", "undirected")
-    return centrality.betweenness(vertices, edges).select("id", F.round("score", 6).alias("score"))
+    scores = centrality.betweenness(vertices, edges)
+    return scores.select("id", (F.round("score", 6) + F.lit(0.0)).alias("score"))
+
+
+def _neighbour_means(source: str) -> str:
+    """Unit vectors of the means over neighbours, one row per vertex and dimension."""
+    return f"""(
+        SELECT id, i, CASE WHEN sum(x * x) OVER (PARTITION BY id) > 0
+                           THEN x / sqrt(sum(x * x) OVER (PARTITION BY id)) ELSE 0 END AS x
+        FROM (SELECT e.src AS id, s.i, avg(s.x) AS x FROM steps e JOIN {source} s ON s.id = e.dst
+              GROUP BY 1, 2))"""
 
 
-@query("node_embeddings")
+_entries = ", ".join(f"max(CASE WHEN i = {i} THEN x END) AS e{i + 1}" for i in range(16))
+
+
+@query(
+    "node_embeddings",
+    f"""WITH pairs AS (SELECT DISTINCT user_id, business_id FROM reviews),
+        steps AS (SELECT user_id AS src, business_id AS dst FROM pairs
+                  UNION ALL SELECT business_id, user_id FROM pairs),
+        signs AS (
+          SELECT id, i, CASE draw WHEN 0 THEN sqrt(3.0 / 16) WHEN 1 THEN -sqrt(3.0 / 16) ELSE 0.0 END AS x
+          FROM (SELECT v.id, d.i,
+                       CAST('0x' || substring(md5('42|' || v.id || '|' || d.i), 1, 7) AS BIGINT) % 6 AS draw
+                FROM (SELECT DISTINCT src AS id FROM steps) v CROSS JOIN range(16) d(i))),
+        one AS {_neighbour_means('signs')}, two AS {_neighbour_means('one')},
+        three AS {_neighbour_means('two')},
+        summed AS (SELECT a.id, a.i, round(a.x + b.x, 6) + 0.0 AS x
+                   FROM two a JOIN three b ON b.id = a.id AND b.i = a.i)
+        SELECT id, {_entries} FROM summed GROUP BY 1""",
+)
 def _(w):
     edges = g.project(w.graph.reviewed, "user_id", "business_id", "undirected")
     vertices = edges.select(F.col("src").alias("id")).distinct()
-    return embedding.fast_rp(vertices, edges, dimension=16).select(
-        "id", *[F.round(F.element_at("embedding", i), 6).alias(f"e{i}") for i in range(1, 17)]
+    vectors = embedding.fast_rp(vertices, edges, dimension=16)
+    return vectors.select(
+        "id",
+        *[
+            (F.round(F.element_at("embedding", i), 6) + F.lit(0.0)).alias(f"e{i}")
+            for i in range(1, 17)
+        ],
     )
 
 
@@ -377,7 +440,24 @@ def _(w):
     return n.market_saturation(w.graph, min_businesses=3, digits=9)
 
 
-@query("bridge_users")
+@query(
+    "bridge_users",
+    f"""SELECT * FROM (WITH RECURSIVE {BETWEENNESS},
+        middle AS (SELECT id FROM central ORDER BY round(score, 9) DESC, id LIMIT 20),
+        hubs AS (SELECT user_id AS id FROM degrees ORDER BY degree DESC, user_id LIMIT 20),
+        members AS (
+          SELECT id, 'bridge' AS side FROM middle WHERE id NOT IN (SELECT id FROM hubs)
+          UNION ALL SELECT id, 'hub' FROM hubs),
+        sizes AS (SELECT side, count(*) AS n_users FROM members GROUP BY 1)
+        SELECT m.side, s.n_users, {half_up_sql('avg(u.review_count)', 1)} AS "MeanReviews",
+               {half_up_sql('count(DISTINCT b.city) / s.n_users', 1)} AS "DistinctCities",
+               {half_up_sql('count(DISTINCT c.category) / s.n_users', 1)} AS "DistinctCategories",
+               CAST((SELECT count(*) FROM middle WHERE id IN (SELECT id FROM hubs)) AS INTEGER) AS overlap
+        FROM members m JOIN sizes s ON s.side = m.side JOIN users u ON u.user_id = m.id
+             JOIN reviews r ON r.user_id = m.id JOIN businesses b ON b.business_id = r.business_id
+             LEFT JOIN in_category c ON c.business_id = r.business_id
+        GROUP BY m.side, s.n_users)""",
+)
 def _(w):
     return n.bridge_users(w.graph)
 
