@@ -130,21 +130,37 @@ def betweenness(
     )
 
 
+# Vertices one step ahead with their path counts.  An undirected step leads to the
+# next level, the same level or the one before; rows of the known levels go through
+# the same aggregation and mark what has been seen, so one shuffle does it all.
+AHEAD = """
+    SELECT source, node, sum(paths) AS paths
+    FROM (SELECT source, dst AS node, paths, false AS seen FROM {met}
+          UNION ALL SELECT source, node, 0D, true FROM {here}
+          UNION ALL SELECT source, node, 0D, true FROM {before})
+    GROUP BY source, node HAVING NOT bool_or(seen)"""
+
+# Dependencies of a level: shares passed back by the next one, times own paths.
+# Shares that arrive at vertices of other levels find no paths and drop out.
+BACK = """
+    SELECT source, node, max(paths) AS paths, max(paths) * coalesce(sum(share), 0D) AS delta
+    FROM (SELECT source, node, paths, CAST(NULL AS DOUBLE) AS share FROM {here}
+          UNION ALL SELECT source, dst, NULL, share FROM {passed})
+    GROUP BY source, node HAVING max(paths) IS NOT NULL"""
+
+
 def _dependencies(start: DataFrame, steps: DataFrame, spread: HotKeys) -> DataFrame:
     """Sum of dependencies per vertex over the given sources."""
+    spark = start.sparkSession
     level = start.select(
         F.col("id").alias("source"), F.col("id").alias("node"), F.lit(1.0).alias("paths")
     )
     levels = [cut_lineage(level, "level")]
     while True:
-        reached = spread.join(steps, levels[-1], ["dst"], lookup_key="node")
-        ahead = reached.groupBy("source", F.col("dst").alias("node")).agg(
-            F.sum("paths").alias("paths")
+        met = spread.join(steps, levels[-1], ["dst"], lookup_key="node")
+        ahead = cut_lineage(
+            spark.sql(AHEAD, met=met, here=levels[-1], before=levels[-2:][0]), "level"
         )
-        # An undirected step leads to the next level, the same level or the one before.
-        for known in levels[-2:]:
-            ahead = ahead.join(known.select("source", "node"), ["source", "node"], "left_anti")
-        ahead = cut_lineage(ahead, "level")
         if ahead.isEmpty():
             break
         levels.append(ahead)
@@ -152,8 +168,7 @@ def _dependencies(start: DataFrame, steps: DataFrame, spread: HotKeys) -> DataFr
     # The source itself, level zero, depends on nothing.
     collected = start.select("id", F.lit(0.0).alias("delta"))
     behind = None
-    for depth in range(len(levels) - 1, 0, -1):
-        here = levels[depth]
+    for here in reversed(levels[1:]):
         if behind is None:
             weighed = here.withColumn("delta", F.lit(0.0))
         else:
@@ -162,21 +177,8 @@ def _dependencies(start: DataFrame, steps: DataFrame, spread: HotKeys) -> DataFr
                 F.col("node").alias("src"),
                 ((1.0 + F.col("delta")) / F.col("paths")).alias("share"),
             )
-            passed = (
-                spread.join(steps, share, ["dst"])
-                .groupBy("source", F.col("dst").alias("node"))
-                .agg(F.sum("share").alias("share"))
-            )
-            weighed = cut_lineage(
-                here.join(passed, ["source", "node"], "left").select(
-                    "source",
-                    "node",
-                    "paths",
-                    (F.col("paths") * F.coalesce("share", F.lit(0.0))).alias("delta"),
-                ),
-                "delta",
-            )
+            passed = spread.join(steps, share, ["dst"])
+            weighed = cut_lineage(spark.sql(BACK, here=here, passed=passed), "delta")
         collected = collected.unionByName(weighed.select(F.col("node").alias("id"), "delta"))
         behind = weighed
     return collected.groupBy("id").agg(F.sum("delta").alias("delta"))
-

@@ -51,17 +51,21 @@ def louvain(
     """`id`, `community` for every vertex; a community is named by one of its members.
 
     `edges` holds both directions of every undirected edge as `src`, `dst`, `w`.
-    Levels go on until one gains less than `tolerance`; inside a level a round that
+    Levels go on until two in a row gain less than `tolerance`; inside a level a round that
     gains less than `round_tolerance` ends it, as the next level moves whole groups.
     """
     membership = cut_lineage(vertices.select("id", F.col("id").alias("community")), "membership")
     graph = cut_lineage(edges.groupBy("src", "dst").agg(F.sum("w").alias("w")), "edges")
+    idle = 0
     for level in range(levels):
         # Other draws on every level, as contracted communities keep their names.
         draws = range(level * (rounds + 1), (level + 1) * (rounds + 1))
         moved, gained = _local_moves(graph, draws, round_tolerance, hot_limits)
-        if moved is None:
+        idle = idle + 1 if gained < tolerance else 0
+        if idle >= 2:
             break
+        if moved is None:
+            continue
         step = moved.select(F.col("id").alias("community"), F.col("community").alias("merged"))
         membership = cut_lineage(
             salted_join(membership, step, "community", ["id"], "left").select(
@@ -69,8 +73,6 @@ def louvain(
             ),
             "membership",
         )
-        if gained < tolerance:
-            break
         side = moved.select(F.col("id").alias("src"), F.col("community").alias("c_src"))
         other = moved.select(F.col("id").alias("dst"), F.col("community").alias("c_dst"))
         contracted = (
@@ -110,6 +112,7 @@ def _local_moves(
         summary = result.agg(
             F.sum(F.col("home_links") + F.col("loop")).alias("inner"),
             F.sum(F.col("k") * F.col("home_total")).alias("squares"),
+            F.bool_or("wishes").alias("wishes"),
         ).first()
         score = summary["inner"] / m2 - summary["squares"] / (m2 * m2)
         if best is None:
@@ -121,7 +124,7 @@ def _local_moves(
                 best, best_score = homes, score
             # The next draw may let others move.
             stalled += 1
-        if stalled >= 2:
+        if stalled >= 3 or not summary["wishes"]:
             break
         homes = result.select("id", "k", "loop", "community")
     if best_score <= start:
@@ -153,13 +156,14 @@ ROUND = """
              JOIN {homes} h ON h.id = c.id),
     choices AS (
         SELECT id, first(k) AS k, first(loop) AS loop, first(home) AS home,
-               max(if(stays, gain, NULL)) AS stay_gain,
+               max(if(stays, gain, NULL)) AS stay_gain, max(if(stays, NULL, gain)) AS best_gain,
                max(if(stays, links, NULL)) AS home_links,
                max(if(stays, total, NULL)) AS home_total,
                bool_or(stays AND open) AS home_open,
                min(if(open, struct(-gain AS loss, community), NULL)) AS pick
         FROM scored GROUP BY id)
     SELECT id, k, loop, home_links, home_total,
+           coalesce(best_gain > stay_gain + 1e-9, false) AS wishes,
            if(coalesce(-pick.loss > stay_gain + 1e-9, false) AND NOT home_open,
               pick.community, home) AS community
     FROM choices"""

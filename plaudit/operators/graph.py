@@ -55,10 +55,14 @@ def _with_ends(edges: DataFrame, users: DataFrame, businesses: DataFrame) -> Dat
 def reviewed(reviews: DataFrame, users: DataFrame, businesses: DataFrame) -> DataFrame:
     """One edge per review; parallel edges stay apart.
 
-    The same id with the same ends is one edge and keeps the latest values.
+    The same id with the same ends is one edge and keeps the latest values; an
+    undated review keeps its stars.
     """
-    merged = reviews.groupBy("user_id", "business_id", "review_id").agg(
-        F.max_by("stars", "date").alias("stars"), F.max("date").alias("date")
+    latest = F.max(F.struct("date", "stars"))
+    merged = (
+        reviews.groupBy("user_id", "business_id", "review_id")
+        .agg(latest.alias("latest"))
+        .select("user_id", "business_id", "review_id", "latest.stars", "latest.date")
     )
     return _with_ends(merged, users, businesses)
 

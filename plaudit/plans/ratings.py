@@ -411,7 +411,8 @@ def best_cohorts(cohorts: DataFrame) -> DataFrame:
     """
 
     def leader(measure: str) -> Column:
-        return F.min(F.struct((-F.col(measure)).alias("m"), "cohort_year"))["cohort_year"]
+        ranked = F.struct((-F.col(measure)).alias("m"), "cohort_year")
+        return F.min(F.when(F.col(measure).isNotNull(), ranked))["cohort_year"]
 
     return cohorts.agg(
         leader("mean_stars").alias("highest_stars_cohort"),

@@ -67,6 +67,8 @@ def test_whole_etl(spark, raw, tmp_path):
     counts = {x.name: x.n_rows for x in quality.row_counts(graph.tables()).collect()}
     assert counts == {"user": 2, "business": 2, "category": 2, "city": 1, "state": 1, "reviewed": 3,
                       "tip_left": 1, "in_category": 2, "located_in": 2, "part_of": 1, "friends_with": 1}
+    edges = {x.review_id: (x.stars, x.date) for x in graph.reviewed.collect()}
+    assert edges["r2"] == (2.0, None) and edges["r1"][0] == 5.0
     assert graph.tip_left.first().date == dt.datetime(2013, 5, 1, 10)
     checks = quality.check_tables(
         {name: spark.read.parquet(path) for name, path in paths.items()}, schemas.EXPECTED_TABLES

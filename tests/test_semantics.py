@@ -190,5 +190,5 @@ def test_crosstab_puts_unvisited_into_the_lowest_tier(spark):
 
 
 def test_cohort_leaders_take_the_earliest_on_ties(spark):
-    df = spark.createDataFrame([(2004, 3.0, 1.0), (2005, 3.0, 2.0)], "cohort_year int, mean_stars double, mean_useful double")
+    df = spark.createDataFrame([(2003, None, None), (2004, 3.0, 1.0), (2005, 3.0, 2.0)], "cohort_year int, mean_stars double, mean_useful double")
     assert tuple(ratings.best_cohorts(df).first()) == (2004, 2005)
