@@ -493,10 +493,14 @@ def _(w):
 
 @query("link_prediction_metrics")
 def _(w):
-    return links.train_links(w.graph, dimension=16, depth=5).metrics()
+    return w.link_model.metrics()
+
+
+@query("link_feature_importance")
+def _(w):
+    return w.link_model.importances()
 
 
 @query("recommendations")
 def _(w):
-    model = links.train_links(w.graph, dimension=16, depth=5)
-    return links.recommendations(w.graph, model, low=30, high=200, min_reviews=20)
+    return links.recommendations(w.graph, w.link_model, low=30, high=200, min_reviews=20)

@@ -92,6 +92,11 @@ class LinkModel:
         ]
         return self.vectors.sparkSession.createDataFrame(rows, "metric string, value double")
 
+    def importances(self) -> DataFrame:
+        """Weight of every dimension of the pair feature in the forest."""
+        rows = [(i, float(x)) for i, x in enumerate(self.forest.featureImportances.toArray())]
+        return self.vectors.sparkSession.createDataFrame(rows, "feature int, importance double")
+
     def score(self, pairs: DataFrame) -> DataFrame:
         scored = self.forest.transform(pair_features(pairs, self.vectors))
         return scored.withColumn("probability", vector_to_array("probability")[1])

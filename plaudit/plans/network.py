@@ -90,14 +90,25 @@ def top3_by_state(
 
 
 def most_travelled_users(graph: Graph, k: int = 10, **hot_limits) -> DataFrame:
-    """Users whose reviews cover the most cities, with their mean rating in each."""
-    placed = hot_key_join(graph.reviewed, graph.located_in, "business_id", ["review_id"], **hot_limits)
-    per_city = placed.groupBy("user_id", "city").agg(F.avg("stars").alias("avgRating"))
-    counts = per_city.groupBy("user_id").agg(F.count(F.lit(1)).alias("NumberOfCities"))
-    # Exactly k rows; lists are collected for these users only.
+    """Users whose reviews cover the most cities, with their mean rating in each.
+
+    Cities are counted for everybody, ratings only for the k leaders.
+    """
+    visits = graph.reviewed.select("user_id", "business_id", "review_id")
+    counts = (
+        hot_key_join(visits, graph.located_in, "business_id", ["review_id"], **hot_limits)
+        .select("user_id", "city")
+        .distinct()
+        .groupBy("user_id")
+        .agg(F.count(F.lit(1)).alias("NumberOfCities"))
+    )
+    # Exactly k rows.
     leaders = F.broadcast(top_k(counts, "NumberOfCities", ["user_id"], k))
+    theirs = graph.reviewed.select("user_id", "business_id", "stars").join(leaders, "user_id")
     lists = (
-        per_city.join(leaders, "user_id")
+        theirs.join(graph.located_in, "business_id")
+        .groupBy("user_id", "NumberOfCities", "city")
+        .agg(F.avg("stars").alias("avgRating"))
         .groupBy("user_id", "NumberOfCities")
         .agg(F.array_sort(F.collect_list(F.struct("city", "avgRating"))).alias("MeanRatingPerCity"))
     )

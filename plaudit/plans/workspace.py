@@ -9,13 +9,15 @@ from __future__ import annotations
 
 from functools import cached_property
 
+from pyspark.ml.regression import GBTRegressionModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from plaudit.functions.texts import code_points
 from plaudit.operators import graph as g
 from plaudit.operators.cleaning import add_tip_counts, checkin_stats, clean_businesses, clean_users
+from plaudit.plans.links import LinkModel, train_links
 from plaudit.plans.network import friend_communities
-from plaudit.plans.usefulness import usefulness_features
+from plaudit.plans.usefulness import split_features, train_usefulness, usefulness_features
 from plaudit.session import cut_lineage
 
 _OPEN: dict[tuple[str, str], Workspace] = {}
@@ -196,3 +198,16 @@ class Workspace:
     def usefulness_features(self) -> DataFrame:
         """Feature rows of the usefulness model, shared by training and evaluation."""
         return cut_lineage(usefulness_features(self.reviews, self.users, self.graph), "features")
+
+    @cached_property
+    def usefulness_split(self) -> DataFrame:
+        return cut_lineage(split_features(self.usefulness_features), "split")
+
+    @cached_property
+    def usefulness_model(self) -> GBTRegressionModel:
+        """A short boosting run; the library default is 300 rounds of depth 6."""
+        return train_usefulness(self.usefulness_split.filter("is_train"), rounds=5, depth=4)
+
+    @cached_property
+    def link_model(self) -> LinkModel:
+        return train_links(self.graph, dimension=16, depth=5)
