@@ -348,6 +348,7 @@ def group_stats(graph: Graph, members: DataFrame, group: str = "side", **hot_lim
     over review-and-category rows; cities and categories are counted once per group
     and divided by its size.
     """
+    members = cut_lineage(members, "members")
     few = F.broadcast(members)
     sizes = F.broadcast(members.groupBy(group).agg(F.count(F.lit(1)).alias("n_users")))
     visits = graph.reviewed.join(few, "user_id").select(group, "user_id", "business_id", "review_id")

@@ -14,7 +14,8 @@ def spark(tmp_path_factory):
     builder = (
         SparkSession.builder.master("local[8]")
         .appName("plaudit-tests")
-        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.shuffle.partitions", "3")
+        .config("spark.default.parallelism", "3")
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
