@@ -22,7 +22,7 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 # Fixed value: the pattern of the vocabulary's pre-tokenizer.
 WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
@@ -249,7 +249,7 @@ def _with_vocabulary(df: DataFrame, path: str):
     return df.sparkSession.sparkContext.broadcast(_read(path))
 
 
-def _each(df: DataFrame, column: str, types: list[tuple[str, pa.DataType, str]], values, path: str) -> DataFrame:
+def _each(df: DataFrame, column: str, types: list[tuple[str, pa.DataType, object]], values, path: str) -> DataFrame:
     """`df` with columns computed from `column`, a list of rows at a time.
 
     New columns replace old ones of the same name.
@@ -289,7 +289,7 @@ def encode(df: DataFrame, path: str, text_column: str = "text", ids_column: str
     def values(vocabulary: Vocabulary, given: pa.Array):
         return [vocabulary.encode([text or "" for text in given.to_pylist()])]
 
-    return _each(df, text_column, [(ids_column, pa.list_(pa.int32()), "array<int>")], values, path)
+    return _each(df, text_column, [(ids_column, pa.list_(pa.int32()), T.ArrayType(T.IntegerType()))], values, path)
 
 
 def decode(df: DataFrame, path: str, ids_column: str = "ids", text_column: str = "text") -> DataFrame:
