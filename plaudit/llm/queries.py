@@ -6,12 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from plaudit.llm import bpe, mixing, near_dedup, pii, toxicity
+from plaudit.llm import bpe, fingerprints, mixing, near_dedup, neighbours, pii, quality, sharding, toxicity, warc
+from plaudit.session import cut_lineage, new_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {"op6_mixing": mixing.MIX_SQL}
 PII_KEY = "production-key"
 TOXIC_FROM = 0.7
+GOOD_FROM = 0.5
 
 
 def _query(build: Callable[[SparkSession, str], DataFrame]):
@@ -35,6 +37,12 @@ def op1_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.round_trip(_table(spark, folder, "documents").select("doc_id", "text"), vocabulary_path())
 
 
+@_query
+def op2_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text, and how alike they are."""
+    return fingerprints.fingerprints(_table(spark, folder, "documents"))
+
+
 @_query
 def op3_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     """Components of documents that share 85 % of their three-word shingles."""
@@ -43,6 +51,20 @@ def op3_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@_query
+def op4_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    """Shard and slot of every document, the bytes of the shards near equal."""
+    return sharding.shard(_table(spark, folder, "documents")).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
+
+
+@_query
+def op5_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    """The 20 nearest vectors of every twentieth one."""
+    return neighbours.nearest(_table(spark, folder, "embeddings"), lambda vec_id: vec_id % 20 == 0)
+
+
 @_query
 def op6_mixing(spark: SparkSession, folder: str) -> DataFrame:
     """Words that a mix of all sources takes from each document."""
@@ -56,6 +78,23 @@ def op7_pii(spark: SparkSession, folder: str) -> DataFrame:
     return pii.pseudonymise(docs, PII_KEY, count_column="n_replaced")
 
 
+@_query
+def op8_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """Quality of every document from its text, its source and its language within the source."""
+    scored = quality.quality(_table(spark, folder, "documents"), _table(spark, folder, "labels"), toxicity.held_out)
+    return scored.withColumn("held_out", toxicity.held_out("doc_id")).withColumn("keep", F.col("score") >= GOOD_FROM)
+
+
+@_query
+def op9_warc(spark: SparkSession, folder: str) -> DataFrame:
+    """All pages written to archives and read back."""
+    path = new_path(spark, "warc")
+    warc.write_warc(_table(spark, folder, "pages"), path)
+    # Two branches use the records; they are parsed once.
+    records = warc.read_warc(spark, path)
+    return warc.pages_of(cut_lineage(warc.lengths_of(records), "records"))
+
+
 @_query
 def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     """Toxicity score of every document by a model that has not seen the test fold."""
