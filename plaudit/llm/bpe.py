@@ -301,7 +301,7 @@ def decode(df: DataFrame, path: str, ids_column: str = "ids", text_column: str =
     def values(vocabulary: Vocabulary, given: pa.Array):
         return [[vocabulary.decode(ids.as_py() or ()) for ids in given]]
 
-    return _each(df, ids_column, [(text_column, pa.string(), "string")], values, path)
+    return _each(df, ids_column, [(text_column, pa.string(), T.StringType())], values, path)
 
 
 def round_trip(df: DataFrame, path: str, text_column: str = "text") -> DataFrame:
@@ -319,5 +319,6 @@ def round_trip(df: DataFrame, path: str, text_column: str = "text") -> DataFrame
             decoded.append(hashlib.sha256(vocabulary.decode(ids).encode()).hexdigest())
         return counts, encoded, decoded
 
-    types = [("n_tokens", pa.int64(), "bigint"), ("ids_sha256", pa.string(), "string"), ("decoded_sha256", pa.string(), "string")]
+    types = [("n_tokens", pa.int64(), T.LongType()), ("ids_sha256", pa.string(), T.StringType()),
+             ("decoded_sha256", pa.string(), T.StringType())]
     return _each(df, text_column, types, values, path)

@@ -21,6 +21,10 @@ from plaudit.operators.topk import top_per_group
 from plaudit.session import cut_lineage
 
 
+# Queries that walk an index side by side.
+QUERY_ROWS = 512
+
+
 @dataclass(frozen=True)
 class Search:
     """nearest: neighbours per query.  dimensions: projections.  leaf: most vectors of a leaf.
@@ -30,8 +34,8 @@ class Search:
 
     nearest: int = 20
     dimensions: int = 8
-    leaf: int = 64
-    miss: float = 0.01
+    leaf: int = 256
+    miss: float = 0.05
     block: int = 16_384
     queries: int = 2_048
     seed: int = 5
@@ -98,8 +102,8 @@ def search_block(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, ve
     low = np.array([points[rows].min(axis=0) for rows in leaves])
     high = np.array([points[rows].max(axis=0) for rows in leaves])
     quantile = chi_square_quantile(1 - how.miss, how.dimensions)
-    for start in range(0, len(queries), 128):
-        some = queries[start : start + 128]
+    for start in range(0, len(queries), QUERY_ROWS):
+        some = queries[start : start + QUERY_ROWS]
         projected = some @ axes[:-1]
         outside = np.maximum(np.maximum(low[None] - projected[:, None], projected[:, None] - high[None]), 0)
         reach = (outside**2).sum(axis=2)
@@ -107,7 +111,7 @@ def search_block(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, ve
         rough = np.full((len(some), len(ids)), -np.inf)
         best = np.full((len(some), how.nearest), -np.inf)
         norms = (some**2).sum(axis=1)
-        own = query_ids[start : start + 128]
+        own = query_ids[start : start + QUERY_ROWS]
         live = np.ones(len(some), bool)
         for step in range(len(leaves)):
             at = order[:, step]
