@@ -5,7 +5,7 @@ smallest distance.  Gaussian (2-stable) projections to `dimensions` numbers turn
 distance d^2 into d^2 times a chi-square variable.  Each block of vectors is indexed by a
 kd-tree over its projections; a query takes the leaves in order of their projected distance,
 verifies all vectors of a leaf on the originals, and stops once a vector nearer than its
-20th best would have been projected that far out only with probability `miss` or less.
+20th best (21st with itself) would have been projected that far out only with probability `miss` or less.
 """
 
 from __future__ import annotations
@@ -109,24 +109,24 @@ def search_block(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, ve
         reach = (outside**2).sum(axis=2)
         order = np.argsort(reach, axis=1, kind="stable")
         rough = np.full((len(some), len(ids)), -np.inf)
-        best = np.full((len(some), how.nearest), -np.inf)
+        kth = np.full(len(some), -np.inf)
         norms = (some**2).sum(axis=1)
         own = query_ids[start : start + QUERY_ROWS]
-        live = np.ones(len(some), bool)
-        for step in range(len(leaves)):
-            at = order[:, step]
+        live, begin, count = np.arange(len(some)), 0, 1
+        # Every round takes twice as many leaves of each query as the one before, in its own order.
+        while begin < len(leaves) and len(live):
+            at = order[live, begin : begin + count]
             # Squared distance of the k-th best so far; infinite until there are k.
-            limit = np.where(np.isfinite(best[:, 0]), norms + longest - 2 * best[:, 0], np.inf)
-            live &= reach[np.arange(len(some)), at] <= quantile * np.maximum(limit, 0)
-            if not live.any():
-                break
-            for leaf in np.unique(at[live]):
-                of = np.flatnonzero(live & (at == leaf))
-                scores = some[of] @ vectors[leaves[leaf]].T
-                scores[ids[leaves[leaf]][None, :] == own[of][:, None]] = -np.inf
-                rough[of[:, None], leaves[leaf][None, :]] = scores
-                both = np.concatenate([best[of], scores], axis=1)
-                best[of] = np.sort(np.partition(both, both.shape[1] - how.nearest, axis=1)[:, -how.nearest :], axis=1)
+            limit = np.where(np.isfinite(kth[live]), np.maximum(norms[live] + longest - 2 * kth[live], 0), np.inf)
+            near = np.take_along_axis(reach[live], at, axis=1) <= (quantile * limit)[:, None]
+            for leaf in np.unique(at[near]):
+                of = live[((at == leaf) & near).any(axis=1)]
+                rough[of[:, None], leaves[leaf][None, :]] = some[of] @ vectors[leaves[leaf]].T
+            live = live[near.all(axis=1)]
+            begin, count = begin + count, 2 * count
+            if begin < len(leaves) and len(ids) > how.nearest:
+                # One more than wanted, because the query itself may be among them.
+                kth[live] = np.partition(rough[live], len(ids) - how.nearest - 1, axis=1)[:, len(ids) - how.nearest - 1]
         for i in range(len(some)):
             yield (int(own[i]), *_best(some[i], own[i], ids, vectors, rough[i], how.nearest))
 
