@@ -57,9 +57,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every text and proof that they decode to it."""
-    encoded = bpe.encode(docs.select("doc_id", "text", "source"), vocabulary_path())
-    decoded = bpe.decode(encoded, vocabulary_path(), text_column="decoded")
-    return decoded.select(
+    encoded = bpe.encode(docs.select("doc_id", "text", "source"), vocabulary_path(), decoded_column="decoded")
+    return encoded.select(
         "doc_id", "source", F.size("ids").cast("long").alias("n_tokens"), "ids",
         F.col("decoded").eqNullSafe(F.coalesce("text", F.lit(""))).alias("decodes"),
     )

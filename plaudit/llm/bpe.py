@@ -10,7 +10,6 @@ with the same result.  Encoded words are kept per Python worker, up to a fixed n
 
 from __future__ import annotations
 
-import gc
 import hashlib
 import heapq
 import json
@@ -29,7 +28,7 @@ WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{
 # White space before a space, or a space at the end.
 RAGGED = regex.compile(r"\s | $")
 SHORT = 128
-KEPT_WORDS = 250_000
+KEPT_WORDS = 120_000
 KEPT_LETTERS = 24
 NEVER = 2**31 - 1
 # The hash table of ranks: a tenth of the slots is filled by 50,000 merges.
@@ -263,12 +262,10 @@ def _each(df: DataFrame, column: str, types: list[tuple[str, pa.DataType, object
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = _vocabulary(file.value)
-        # Millions of kept tuples and no cycles: collecting garbage would only walk them again and again.
-        gc.disable()
         for batch in batches:
             # Few rows at a time, so that the ids of long texts do not pile up.
-            for start in range(0, batch.num_rows, 256):
-                part = batch.slice(start, 256)
+            for start in range(0, batch.num_rows, 128):
+                part = batch.slice(start, 128)
                 given = part.column(part.num_columns - 1)
                 made = values(vocabulary, given)
                 yield pa.RecordBatch.from_arrays(
@@ -279,17 +276,22 @@ def _each(df: DataFrame, column: str, types: list[tuple[str, pa.DataType, object
     return source.mapInArrow(run, schema)
 
 
-def encode(df: DataFrame, path: str, text_column: str = "text", ids_column: str = "ids") -> DataFrame:
+def encode(df: DataFrame, path: str, text_column: str = "text", ids_column: str = "ids", decoded_column: str | None = None) -> DataFrame:
     """Add the token ids of a text as an array; null and empty texts give an empty array.
 
     Strings of special tokens in a text are encoded as those tokens.  Rows keep their
-    other columns and are neither merged nor moved, so repeated rows stay.
+    other columns and are neither merged nor moved, so repeated rows stay.  With
+    `decoded_column` the ids are decoded again by the same worker.
     """
+    types = [(ids_column, pa.list_(pa.int32()), T.ArrayType(T.IntegerType()))]
+    if decoded_column:
+        types.append((decoded_column, pa.string(), T.StringType()))
 
     def values(vocabulary: Vocabulary, given: pa.Array):
-        return [vocabulary.encode([text or "" for text in given.to_pylist()])]
+        encoded = vocabulary.encode([text or "" for text in given.to_pylist()])
+        return [encoded, [vocabulary.decode(ids) for ids in encoded]] if decoded_column else [encoded]
 
-    return _each(df, text_column, [(ids_column, pa.list_(pa.int32()), T.ArrayType(T.IntegerType()))], values, path)
+    return _each(df, text_column, types, values, path)
 
 
 def decode(df: DataFrame, path: str, ids_column: str = "ids", text_column: str = "text") -> DataFrame:
