@@ -10,14 +10,17 @@ from plaudit.functions.times import epoch_seconds
 from plaudit.sources.files import write_table
 
 
+def _first_per_key(df: DataFrame, key: str, columns: list[str]) -> DataFrame:
+    """One row per key: the smallest by the columns in order, whichever task sees it first."""
+    return df.groupBy(key).agg(F.min(F.struct(*columns)).alias("first")).select(key, "first.*")
+
+
 def user_vertices(users: DataFrame) -> DataFrame:
-    return users.select("user_id", "name", "review_count", "average_stars").dropDuplicates(["user_id"])
+    return _first_per_key(users, "user_id", ["name", "review_count", "average_stars"])
 
 
 def business_vertices(businesses: DataFrame) -> DataFrame:
-    return businesses.select("business_id", "name", "stars", "review_count").dropDuplicates(
-        ["business_id"]
-    )
+    return _first_per_key(businesses, "business_id", ["name", "stars", "review_count"])
 
 
 def category_vertices(businesses: DataFrame) -> DataFrame:

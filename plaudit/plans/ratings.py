@@ -121,9 +121,10 @@ def rating_trends(
     restricts the reviews of the state to a repeatable subset before dates apply.
     """
     local = businesses.filter(F.col("state") == state)
+    # Only the state's reviews reach the aggregation.
+    reviews = reviews.join(local.select("business_id"), "business_id", "left_semi")
     if record_cap is not None:
-        own = reviews.join(local.select("business_id"), "business_id", "left_semi")
-        reviews = sample_rows(own, ["review_id"], record_cap)
+        reviews = sample_rows(reviews, ["review_id"], record_cap)
     window = F.col("date").between(
         F.lit(start).cast("timestamp_ntz"), F.lit(end).cast("timestamp_ntz")
     )
@@ -216,9 +217,10 @@ def review_behavior(
 ) -> DataFrame:
     """Length, usefulness and star shares of the most reviewed categories of a state."""
     local = businesses if state is None else businesses.filter(F.col("state") == state)
+    if state is not None or record_cap is not None:
+        reviews = reviews.join(local.select("business_id"), "business_id", "left_semi")
     if record_cap is not None:
-        own = reviews.join(local.select("business_id"), "business_id", "left_semi")
-        reviews = sample_rows(own, ["review_id"], record_cap)
+        reviews = sample_rows(reviews, ["review_id"], record_cap)
     per_business = reviews.groupBy("business_id").agg(
         F.count(F.lit(1)).alias("n"),
         F.sum("useful").alias("useful"),

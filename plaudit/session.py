@@ -2,27 +2,22 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Settings the operators rely on.  They are ordinary Spark options, so a cluster
-# may override every one of them; `tune` only fills in what the session allows.
-RUNTIME_OPTIONS = {
-    "spark.sql.session.timeZone": "UTC",
-    "spark.sql.adaptive.enabled": "true",
-    "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
-    "spark.sql.parquet.filterPushdown": "true",
-}
+# Casts between dates, timestamps and texts need one time zone everywhere.
+RUNTIME_OPTIONS = {"spark.sql.session.timeZone": "UTC"}
 
 
 def tune(spark: SparkSession) -> SparkSession:
-    """Apply the run-time SQL options to an existing session."""
+    """Set the options that results depend on where the application has not chosen them itself."""
+    chosen = spark.sparkContext.getConf()
     for key, value in RUNTIME_OPTIONS.items():
-        spark.conf.set(key, value)
+        if not chosen.contains(key):
+            spark.conf.set(key, value)
     return spark
 
 
@@ -37,7 +32,7 @@ def shared_folder(spark: SparkSession) -> str:
     named = context.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    if not context.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
     context.setCheckpointDir(tempfile.mkdtemp(prefix="plaudit-"))
     return context.getCheckpointDir().rstrip("/")

@@ -45,7 +45,10 @@ def load_documents(df: DataFrame, collection: str) -> DataFrame:
     key = KEYS.get(collection)
     if key is None:
         return loaded
-    return loaded.dropDuplicates([key]).withColumnRenamed(key, "_id")
+    # Of documents that share a key the one with the smallest text stays, so a repeated task agrees.
+    whole = F.struct(*loaded.columns)
+    first = loaded.groupBy(key).agg(F.min_by(whole, F.to_json(whole)).alias("first"))
+    return first.select("first.*").withColumnRenamed(key, "_id")
 
 
 def reload_users(spark: SparkSession, raw_path: str, target: str) -> DataFrame:

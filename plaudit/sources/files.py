@@ -53,13 +53,16 @@ def write_results(results: Mapping[str, DataFrame], folder: str, form: str = "js
 
 
 def append_result(result: DataFrame, folder: str, name: str, title: str) -> None:
-    """Append one titled result set to a common folder, row by row as JSON text."""
+    """Put one titled result set into a common folder, row by row as JSON text.
+
+    A rerun replaces the rows of the same name and leaves the others alone.
+    """
     rows = result.select(
         F.lit(name).alias("query"),
         F.lit(title).alias("title"),
         F.to_json(F.struct(*result.columns)).alias("row"),
     )
-    rows.write.mode("append").partitionBy("query").json(folder)
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("query").json(folder)
 
 
 def read_results(spark: SparkSession, folder: str) -> DataFrame:
