@@ -1,9 +1,9 @@
 """Toxicity: a linear classifier of character n-grams scaled by naive Bayes log-count ratios.
 
 A feature is the presence of a hashed n-gram in a text.  Its ratio r compares how often toxic
-and other training texts have it; a logistic regression is trained on r times presence.  All
-labelled training rows count towards the ratios up to `fit_rows`, the documented bound of the
-training sample, which also bounds what the driver sees.  Scoring covers whole texts.
+and other training texts have it; a logistic regression is trained on r times presence.  At most
+`fit_rows` labelled rows, chosen by hash, form the training sample; this documented bound also
+limits what the driver sees.  Scoring covers whole texts.
 """
 
 from __future__ import annotations
@@ -155,9 +155,16 @@ def train(labelled: DataFrame, how: Training = Training()) -> ToxicityModel:
 
     With no rows of one label the model scores every text 0.5.
     """
+    return _fit(cut_lineage(_sample(labelled, how), "labelled"), how)
+
+
+def _sample(labelled: DataFrame, how: Training) -> DataFrame:
     rows = labelled.filter(F.col("label").isin(0, 1)).select("text", F.col("label").cast("int").alias("label"))
     rows = rows.withColumn("digest", F.xxhash64(F.coalesce("text", F.lit(""))))
-    rows = cut_lineage(sample_rows(rows, ["digest"], how.fit_rows, how.seed).select("text", "label"), "labelled")
+    return sample_rows(rows, ["digest"], how.fit_rows, how.seed).select("text", "label")
+
+
+def _fit(rows: DataFrame, how: Training) -> ToxicityModel:
     sizes = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
     others, toxic = sizes.get(0, 0), sizes.get(1, 0)
     if not others or not toxic:
@@ -209,6 +216,16 @@ def score(docs: DataFrame, model: ToxicityModel, text_column: str = "text", name
 
 
 def train_on_labels(docs: DataFrame, labels: DataFrame, how: Training = Training()) -> ToxicityModel:
-    """Join `labels.toxic` to the texts and fit on all rows outside the test fold."""
-    known = labels.select(F.col("doc_id"), F.col("toxic").alias("label")).filter(~held_out("doc_id") & F.col("label").isNotNull())
-    return train(docs.select("doc_id", "text").join(known, "doc_id").select("text", "label"), how)
+    """Join `labels.toxic` to the texts and fit on rows outside the test fold.
+
+    The sample of `fit_rows` labels is chosen before the join, so only its texts are written and
+    no text is shuffled.  Labels without a text, of another value or with a null id are not used.
+    """
+    known = labels.select("doc_id", F.col("toxic").alias("label")).filter(
+        ~held_out("doc_id") & F.col("doc_id").isNotNull() & F.col("label").isin(0, 1)
+    )
+    known = cut_lineage(sample_rows(known, ["doc_id"], how.fit_rows, how.seed), "known")
+    # At most fit_rows rows of an id and a label: small enough for every task.
+    rows = cut_lineage(docs.select("doc_id", "text").join(F.broadcast(known), "doc_id").select("text", "label"), "labelled")
+    # Documents that repeat an id could exceed the bound.
+    return _fit(_sample(rows, how), how)
