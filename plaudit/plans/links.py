@@ -108,13 +108,13 @@ def train_links(
     trees: int = 10,
     depth: int = 8,
     share: float = 0.8,
-    test_pairs: int = 20_000,
+    test_pairs: int | None = None,
     seed: int = 42,
 ) -> LinkModel:
     """Fit a forest on reviews before a moment and test it on reviews after it.
 
-    All pairs of the training period are positives; `test_pairs` is the size of the
-    evaluation set on either side.
+    All pairs of the training period are positives.  The evaluation takes all pairs of the
+    later period and about as many unreviewed ones, or `test_pairs` of either side.
     """
     before, after, moment = split_by_time(graph.reviewed, share)
     old_pairs = cut_lineage(before.select(*PAIR).distinct(), "train-pairs")
@@ -134,12 +134,12 @@ def train_links(
 
     train = labelled(old_pairs, shuffled_negatives(old_pairs, old_pairs, seed))
     forest = RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed).fit(train)
-    late = sample_rows(after.select(*PAIR).distinct(), PAIR, test_pairs, seed)
+    late = cut_lineage(sample_rows(after.select(*PAIR).distinct(), PAIR, test_pairs, seed), "late")
     unseen = drawn_negatives(
         graph.user.filter(F.col("review_count") > 5),
         graph.business.filter(F.col("review_count") > 10),
         all_pairs,
-        test_pairs,
+        late.count() if test_pairs is None else test_pairs,
         seed,
     )
     test = labelled(late, unseen)

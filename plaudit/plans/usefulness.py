@@ -161,9 +161,9 @@ def regression_metrics(
 
 
 def permutation_importance(
-    model: GBTRegressionModel, df: DataFrame, sample: int = 10_000, seed: int = 42
+    model: GBTRegressionModel, df: DataFrame, sample: int | None = None, seed: int = 42
 ) -> DataFrame:
-    """Contribution of each feature on a sample of fixed size.
+    """Contribution of each feature on all rows, or on a sample of fixed size.
 
     `importance` is the model's own split gain; `rmse_increase` is the loss in
     accuracy when the feature's values are dealt out anew among the rows.
