@@ -116,7 +116,7 @@ def betweenness(
     )
     spread = HotKeys.find(steps, "src", **hot_limits)
     chosen = cut_lineage(sampled_sources(vertices, sources, seed), "sources")
-    groups = 1 if sources is None else max(1, -(-sources // batch))
+    groups = max(1, -(-(chosen.count() if sources is None else sources) // batch))
     totals = None
     for group in range(groups):
         start = chosen.filter(F.pmod(F.xxhash64("id"), F.lit(groups)) == group)
