@@ -2,30 +2,26 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections.abc import Mapping, Sequence
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window, functions as F
 
 from plaudit.session import cut_lineage
 
-# Up to this many distinct values one task orders them directly.
-ONE_TASK_VALUES = 100_000
-RANGES = 512
+# Distinct values that one task orders.
+RANGE_VALUES = 1_000_000
 
 
 def value_positions(
-    df: DataFrame,
-    column: str,
-    weight: str | None = None,
-    one_task_values: int = ONE_TASK_VALUES,
-    ranges: int = RANGES,
+    df: DataFrame, column: str, weight: str | None = None, range_values: int = RANGE_VALUES
 ) -> DataFrame:
     """Every distinct non-null value with `n`, its frequency, and `before`, the rows below it.
 
-    A row counts once, or as often as its `weight` says.  Equal values are counted together first, so a dominant value costs one row.
-    The distinct values are cut into ranges of similar size; each range is
-    accumulated by itself and shifted by the rows of all lower ranges.
+    A row counts once, or as often as its `weight` says.  Equal values are counted together
+    first, so a dominant value costs one row.  The distinct values, of any type that can be
+    ordered, are cut into ranges of about `range_values`; each range is accumulated by itself
+    and shifted by the rows of all lower ranges.
     """
     counts = cut_lineage(
         df.filter(F.col(column).isNotNull())
@@ -33,57 +29,53 @@ def value_positions(
         .agg((F.sum(weight) if weight else F.count(F.lit(1))).alias("n")),
         "values",
     )
-    running = Window.orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
-    if counts.count() <= one_task_values:
-        return counts.withColumn("before", F.coalesce(F.sum("n").over(running), F.lit(0)))
-
-    probabilities = [i / ranges for i in range(1, ranges)]
-    cuts = counts.select(F.percentile_approx("value", probabilities, 10_000)).first()[0]
-    splits = [float("-inf"), *sorted({float(cut) for cut in cuts}), float("inf")]
-    ranged = Bucketizer(splits=splits, inputCol="as_double", outputCol="range").transform(
-        counts.withColumn("as_double", F.col("value").cast("double"))
+    ranges = max(1, math.ceil(counts.count() / range_values))
+    # Written, because the borders of the ranges come from a sample and must not change later.
+    ranged = cut_lineage(
+        counts.repartitionByRange(ranges, "value").withColumn("range", F.spark_partition_id()), "ranges"
     )
-    # At most `ranges` rows, so a single task may accumulate them and every task may hold them.
+    # One row per range.
     lower = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         ranged.groupBy("range")
         .agg(F.sum("n").alias("rows"))
         .select("range", F.coalesce(F.sum("rows").over(lower), F.lit(0)).alias("offset"))
     )
-    inside = running.partitionBy("range")
-    return ranged.join(F.broadcast(offsets), "range").select(
+    inside = Window.partitionBy("range").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
+    return ranged.join(offsets, "range").select(
         "value",
         "n",
         (F.col("offset") + F.coalesce(F.sum("n").over(inside), F.lit(0))).alias("before"),
     )
 
 
-def exact_percentiles(
-    df: DataFrame, column: str, probabilities: Sequence[float], **limits
-) -> list[float | None]:
-    """Linearly interpolated exact percentiles of one column.
+def percentiles(df: DataFrame, column: str, wanted: Mapping[str, float], **limits) -> DataFrame:
+    """One row with a linearly interpolated exact percentile per entry of `wanted` (name to probability).
 
-    Only the two neighbours of each wanted position travel to the driver.
+    Without values every percentile is null.
     """
     positions = value_positions(df, column, **limits)
-    rows = positions.agg(F.sum("n")).first()[0]
-    if not rows:
-        return [None] * len(probabilities)
-    places = []
-    for probability in probabilities:
-        exact = probability * (rows - 1)
+    rows = positions.agg(F.sum("n")).first()[0] or 0
+
+    def at(index: int):
+        here = (F.col("before") <= index) & (F.col("before") + F.col("n") > index)
+        return F.max(F.when(here, F.col("value").cast("double")))
+
+    found = []
+    for name, probability in wanted.items():
+        exact = probability * max(rows - 1, 0)
         low = int(exact)
-        places.append((low, min(low + 1, rows - 1), exact - low))
-    wanted = sorted({index for low, high, _ in places for index in (low, high)})
-    hits = F.array(*[F.lit(index) for index in wanted])
-    found = (
-        positions.withColumn("place", F.explode(hits))
-        .filter((F.col("before") <= F.col("place")) & (F.col("place") < F.col("before") + F.col("n")))
-        .select("place", F.col("value").cast("double").alias("value"))
-        .collect()
-    )
-    at = {row["place"]: row["value"] for row in found}
-    return [at[low] + (at[high] - at[low]) * part for low, high, part in places]
+        below, above = at(low), at(max(min(low + 1, rows - 1), 0))
+        found.append((below + (above - below) * (exact - low)).alias(name))
+    return positions.agg(*found)
+
+
+def exact_percentiles(
+    df: DataFrame, column: str, probabilities: Sequence[float], **limits
+) -> list[float | None]:
+    """`percentiles` as numbers, for use as thresholds."""
+    names = {f"p{i}": probability for i, probability in enumerate(probabilities)}
+    return list(percentiles(df, column, names, **limits).first())
 
 
 def average_ranks(df: DataFrame, column: str, weight: str | None = None, **limits) -> DataFrame:

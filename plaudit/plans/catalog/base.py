@@ -27,7 +27,7 @@ ENTITIES = {
     "written_reviews": """
         SELECT r.*, d.text_length
         FROM (SELECT *, l_orderkey % (SELECT count(*) FROM documents) AS doc_id FROM reviews) r
-             JOIN (SELECT doc_id, length(text) AS text_length FROM documents) d
+             LEFT JOIN (SELECT doc_id, length(text) AS text_length FROM documents) d
                ON d.doc_id = r.doc_id""",
     "checkin_tokens": """
         SELECT 'b' || json_extract_string(props, '$.k') AS business_id,

@@ -248,7 +248,7 @@ def _neighbour_means(source: str) -> str:
               GROUP BY 1, 2))"""
 
 
-_entries = ", ".join(f"max(CASE WHEN i = {i} THEN x END) AS e{i + 1}" for i in range(16))
+_entries = ", ".join(f"max(CASE WHEN i = {i} THEN x END) AS e{i + 1}" for i in range(64))
 
 
 @query(
@@ -257,10 +257,10 @@ _entries = ", ".join(f"max(CASE WHEN i = {i} THEN x END) AS e{i + 1}" for i in r
         steps AS (SELECT user_id AS src, business_id AS dst FROM pairs
                   UNION ALL SELECT business_id, user_id FROM pairs),
         signs AS (
-          SELECT id, i, CASE draw WHEN 0 THEN sqrt(3.0 / 16) WHEN 1 THEN -sqrt(3.0 / 16) ELSE 0.0 END AS x
+          SELECT id, i, CASE draw WHEN 0 THEN sqrt(3.0 / 64) WHEN 1 THEN -sqrt(3.0 / 64) ELSE 0.0 END AS x
           FROM (SELECT v.id, d.i,
                        CAST('0x' || substring(md5('42|' || v.id || '|' || d.i), 1, 7) AS BIGINT) % 6 AS draw
-                FROM (SELECT DISTINCT src AS id FROM steps) v CROSS JOIN range(16) d(i))),
+                FROM (SELECT DISTINCT src AS id FROM steps) v CROSS JOIN range(64) d(i))),
         one AS {_neighbour_means('signs')}, two AS {_neighbour_means('one')},
         three AS {_neighbour_means('two')},
         summed AS (SELECT a.id, a.i, round(a.x + b.x, 6) + 0.0 AS x
@@ -270,12 +270,12 @@ _entries = ", ".join(f"max(CASE WHEN i = {i} THEN x END) AS e{i + 1}" for i in r
 def _(w):
     edges = g.project(w.graph.reviewed, "user_id", "business_id", "undirected")
     vertices = edges.select(F.col("src").alias("id")).distinct()
-    vectors = embedding.fast_rp(vertices, edges, dimension=16)
+    vectors = embedding.fast_rp(vertices, edges)
     return vectors.select(
         "id",
         *[
             (F.round(F.element_at("embedding", i), 6) + F.lit(0.0)).alias(f"e{i}")
-            for i in range(1, 17)
+            for i in range(1, 65)
         ],
     )
 
@@ -487,8 +487,7 @@ def _(w):
     "SELECT quantile_cont(CAST(epoch(date) AS BIGINT), 0.8) AS moment FROM reviews",
 )
 def _(w):
-    moment = links.split_by_time(w.graph.reviewed)[2]
-    return w.graph.state.limit(1).select(F.lit(moment).alias("moment"))
+    return links.split_moment(w.graph.reviewed)
 
 
 @query("link_prediction_metrics")

@@ -15,7 +15,7 @@ from plaudit.functions.texts import code_points, split_list, trimmed_items
 from plaudit.functions.times import days_between, epoch_seconds, parse_day, parse_stamp, weekday_name
 from plaudit.operators.centrality import friend_degree
 from plaudit.operators.graph import project
-from plaudit.operators.ranking import exact_percentiles, spearman
+from plaudit.operators.ranking import percentiles, spearman
 from plaudit.operators.sampling import sample_rows
 from plaudit.operators.skew import HotKeys, hot_key_join
 from plaudit.operators.topk import both_ends, most_frequent, top_k, top_per_group
@@ -475,9 +475,7 @@ def _(w):
               quantile_cont(review_count, 0.9) AS p90 FROM businesses""",
 )
 def _(w):
-    names = ("p25", "p50", "p90")
-    found = exact_percentiles(w.businesses, "review_count", (0.25, 0.5, 0.9))
-    return w.businesses.limit(1).select(*[F.lit(v).alias(n) for n, v in zip(names, found)])
+    return percentiles(w.businesses, "review_count", {"p25": 0.25, "p50": 0.5, "p90": 0.9})
 
 
 @query(

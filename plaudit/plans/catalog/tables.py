@@ -213,6 +213,36 @@ def _(w):
     )
 
 
+@query(
+    "checkin_summary",
+    "WITH listed AS (SELECT business_id, token, row_number() OVER (PARTITION BY business_id ORDER BY token) AS ord "
+    "FROM checkin_tokens), "
+    "slots AS (SELECT business_id, ord, dayname(strptime(token, '%Y-%m-%d %H:%M:%S')) AS day, "
+    "substring(token, 12, 2) AS hour FROM listed),"
+    + ",".join(
+        [
+            _tops_sql("top_days", "day"),
+            _tops_sql("top_hours", "hour"),
+            _tops_sql("top_day_hours", "day || '_' || hour || ':00'"),
+        ]
+    )
+    + """ SELECT 'b' || p_partkey AS business_id, coalesce(c.n, 0) AS checkin_count,
+                 coalesce(top_days, '') AS top_days, coalesce(top_hours, '') AS top_hours,
+                 coalesce(top_day_hours, '') AS top_day_hours
+          FROM part LEFT JOIN (SELECT business_id, count(*) AS n FROM listed GROUP BY 1) c
+                    ON c.business_id = 'b' || p_partkey
+               LEFT JOIN top_days d ON d.business_id = c.business_id
+               LEFT JOIN top_hours h ON h.business_id = c.business_id
+               LEFT JOIN top_day_hours x ON x.business_id = c.business_id""",
+)
+def _(w):
+    return cleaning.checkin_summary(w.raw_checkins).select(
+        "business_id",
+        "checkin_count",
+        *[F.array_join(kind, "|").alias(kind) for kind in cleaning.TOPS],
+    )
+
+
 @query(
     "clean_businesses",
     """SELECT business_id, name, city, state, stars, review_count, checkin_count,

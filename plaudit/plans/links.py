@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, functions as F
 from plaudit.functions.numbers import half_up
 from plaudit.operators.embedding import fast_rp, hadamard
 from plaudit.operators.graph import Graph, project, with_epoch
-from plaudit.operators.ranking import exact_percentiles
+from plaudit.operators.ranking import percentiles
 from plaudit.operators.sampling import dense_index, sample_rows
 from plaudit.operators.skew import HotKeys
 from plaudit.operators.topk import top_per_group
@@ -21,10 +21,15 @@ from plaudit.session import cut_lineage
 PAIR = ["user_id", "business_id"]
 
 
+def split_moment(reviewed: DataFrame, share: float = 0.8) -> DataFrame:
+    """One row with the given percentile of time, `moment`; null without edges."""
+    return percentiles(with_epoch(reviewed), "timestamp", {"moment": share})
+
+
 def split_by_time(reviewed: DataFrame, share: float = 0.8) -> tuple[DataFrame, DataFrame, float]:
     """Edges before and from the given percentile of time, and that moment."""
     timed = with_epoch(reviewed)
-    moment = exact_percentiles(timed, "timestamp", [share])[0]
+    moment = split_moment(reviewed, share).first()["moment"]
     return (
         timed.filter(F.col("timestamp") < moment),
         timed.filter(F.col("timestamp") >= moment),

@@ -74,13 +74,13 @@ class Workspace:
     def reviews(self) -> DataFrame:
         """Reviews with the length of their text, measured once per document."""
         lengths = self.source("documents").select("doc_id", code_points(F.col("text")).alias("text_length"))
-        return cut_lineage(self._review_rows().join(lengths, "doc_id").drop("doc_id"), "reviews")
+        return cut_lineage(self._review_rows().join(lengths, "doc_id", "left").drop("doc_id"), "reviews")
 
     @property
     def reviews_with_text(self) -> DataFrame:
         """Reviews that carry their whole text; not written, the text is large."""
         texts = self.source("documents").select("doc_id", "text")
-        return self._review_rows().join(texts, "doc_id").drop("doc_id")
+        return self._review_rows().join(texts, "doc_id", "left").drop("doc_id")
 
     @property
     def checkin_tokens(self) -> DataFrame:
@@ -95,6 +95,15 @@ class Workspace:
             )
         )
 
+    @property
+    def raw_checkins(self) -> DataFrame:
+        """Check-ins as in the raw file: one list of times per business as a string, blank where there is none."""
+        lists = self.checkin_tokens.groupBy("business_id").agg(
+            F.array_join(F.array_sort(F.collect_list("token")), ", ").alias("date")
+        )
+        shops = self.source("part").select(F.concat(F.lit("b"), "p_partkey").alias("business_id"))
+        return shops.join(lists, "business_id", "left").withColumn("date", F.coalesce("date", F.lit("")))
+
     @property
     def raw_businesses(self) -> DataFrame:
         """Businesses before cleaning: categories are one string."""
@@ -210,4 +219,4 @@ class Workspace:
 
     @cached_property
     def link_model(self) -> LinkModel:
-        return train_links(self.graph, dimension=16, depth=5)
+        return train_links(self.graph)

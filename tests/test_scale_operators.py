@@ -15,7 +15,7 @@ from plaudit.session import cut_lineage, shared_folder
 
 FEW = settings(max_examples=3, deadline=None, suppress_health_check=list(HealthCheck))
 # Force the many-values path on tiny data.
-RANGED = dict(one_task_values=0, ranges=8)
+RANGED = dict(range_values=5)
 
 
 @pytest.fixture(scope="module")
@@ -118,6 +118,16 @@ def test_no_sample_is_the_whole_table(spark):
     assert sample_rows(df, ["id"], None) is df
 
 
+@pytest.mark.parametrize("limits", [{}, RANGED])
+@pytest.mark.parametrize("kind", ["string", "date", "long"])
+def test_positions_of_any_type(spark, kind, limits):
+    df = spark.range(60).select(F.date_add(F.lit("2020-01-01").cast("date"), (F.col("id") % 23).cast("int")).alias("v"))
+    df = df.select(F.unix_date("v").cast("long").alias("v") if kind == "long" else F.col("v").cast(kind).alias("v"))
+    values = sorted(r["v"] for r in df.collect())
+    found = {r["value"]: (r["n"], r["before"]) for r in value_positions(df, "v", **limits).collect()}
+    assert found == {v: (values.count(v), values.index(v)) for v in values}
+
+
 def test_split_is_exact_in_every_stratum(spark):
     df = spark.range(1000).select(
         "id", F.when(F.col("id") % 10 < 7, "big").when(F.col("id") % 10 < 9, "mid").otherwise(F.lit(None)).alias("s")
