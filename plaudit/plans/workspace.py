@@ -214,8 +214,8 @@ class Workspace:
 
     @cached_property
     def usefulness_model(self) -> GBTRegressionModel:
-        """A short boosting run; the library default is 300 rounds of depth 6."""
-        return train_usefulness(self.usefulness_split.filter("is_train"), rounds=5, depth=4)
+        """The full boosting run, shared by the queries of one session."""
+        return train_usefulness(self.usefulness_split.filter("is_train"))
 
     @cached_property
     def link_model(self) -> LinkModel:
