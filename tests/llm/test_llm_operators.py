@@ -73,6 +73,20 @@ def test_fingerprints_recover_exact_differences(spark, odd, none):
     assert fingerprints.fingerprints(none).count() == 0
 
 
+def likenesses(spark, pairs):
+    table = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(pairs)], "i long, a string, b string")
+    keys = table.select("i", fingerprints.digests(F.col("a")).alias("a"), fingerprints.digests(F.col("b")).alias("b"))
+    return [r["l"] for r in keys.select("i", fingerprints.likeness(F.col("a"), F.col("b")).alias("l")).orderBy("i").collect()]
+
+
+def test_fingerprints_of_near_copies_around_512_characters(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").filter("char_length(text) >= 600")
+    texts = [r["text"] for r in docs.select("text").orderBy("doc_id").limit(100).collect()]
+    inside = likenesses(spark, [(t[:510], t[:511]) for t in texts])
+    across = likenesses(spark, [(t[:511], t[:512]) for t in texts])
+    assert np.median(across) > 0.4 and np.mean(across) > 0.9 * np.mean(inside)
+
+
 def brute_components(rows, words, percent):
     lower = str.maketrans({c: c.lower() for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ"})
     sets = {}
