@@ -87,6 +87,19 @@ def test_fingerprints_of_near_copies_around_512_characters(spark):
     assert np.median(across) > 0.4 and np.mean(across) > 0.9 * np.mean(inside)
 
 
+def test_fingerprints_line_up_again_after_an_inserted_word(spark):
+    letters = random.Random(2)
+    word = lambda: "".join(letters.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(letters.randint(2, 9)))
+    lines = [" ".join(word() for _ in range(180)) for _ in range(20)]
+    # Without spaces: one long run of letters, Chinese, base64.
+    lines += ["".join(word() for _ in range(180)), "".join(chr(0x4E00 + letters.randrange(3000)) for _ in range(1000)),
+              base64.b64encode(letters.randbytes(800)).decode()]
+    assert min(likenesses(spark, [(line, line[:9] + " new " + line[9:]) for line in lines])) > 0.5
+    # Every character counts, the mark of a cut included.
+    pairs = [("a\0b", "a\0\2b"), ("a\0\1b", "a\0b"), ("ab", "a\0b"), ("a b", "a  b"), ("a. b", "a.b"), ("a", "a\n")]
+    assert max(likenesses(spark, pairs)) < 1
+
+
 def brute_components(rows, words, percent):
     lower = str.maketrans({c: c.lower() for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ"})
     sets = {}
