@@ -100,6 +100,27 @@ def test_fingerprints_line_up_again_after_an_inserted_word(spark):
     assert max(likenesses(spark, pairs)) < 1
 
 
+def test_fingerprints_return_differences_and_follow_the_size(spark):
+    words = lambda seed: " ".join(f"w{(i * i + seed) % 9973}." for i in range(3000))
+    docs = spark.createDataFrame([(4, words(0)), (3, words(0)), (2, words(5)), (1, "short."), (0, None)], "doc_id long, text string")
+    rows = {r["doc_id"]: r for r in fingerprints.fingerprints(docs).collect()}
+    assert rows[4]["fingerprint"] == rows[3]["fingerprint"] and rows[4]["near_next"] == 1
+    cells = {i: len(r["fingerprint"].partition("-")[2]) // 16 for i, r in rows.items()}
+    assert cells[1] == fingerprints.CELLS and cells[4] >= 1000
+    text = {r["doc_id"]: r["text"] or "" for r in docs.collect()}
+    keys = {}
+    for i in text:
+        third = len(text[i]) // 3
+        keys[i] = (text[i], text[i][: len(text[i]) - third] + text[(i - 1) % 5][:third])
+    table = spark.createDataFrame([(i, *pair) for i, pair in keys.items()], "i long, a string, b string")
+    sets = table.select("i", fingerprints.digests(F.col("a")).alias("a"), fingerprints.digests(F.col("b")).alias("b")).collect()
+    for i, a, b in sets:
+        removed, added = rows[i]["removed"], rows[i]["added"]
+        assert len(removed) + len(added) == len(set(removed) | set(added))
+        assert set(removed) == set(a) - set(b) and set(added) == set(b) - set(a)
+    assert len(rows[3]["removed"]) > 500 and len(rows[3]["added"]) > 500
+
+
 def brute_components(rows, words, percent):
     lower = str.maketrans({c: c.lower() for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ"})
     sets = {}
