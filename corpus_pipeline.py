@@ -24,14 +24,21 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model, name="__score").filter(F.col("__score") < TOXIC_FROM).select(*COLUMNS)
 
 
-def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each group that shares 80 % of its five-word shingles.
+def _numbered(docs: DataFrame) -> DataFrame:
+    """`docs` with `__row`, written once, so that every later read finds the same rows under the same number.
 
-    Of rows that repeat an id, one stays.
+    It is ordered by id (null last), contents and number.
     """
-    kept = near_dedup.near_duplicates(docs).filter("kept").select(F.col("doc_id").alias("__kept")).distinct()
-    rows = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("__kept")), "left_semi")
-    return rows.dropDuplicates(["doc_id"]).select(*COLUMNS)
+    contents = F.xxhash64("text", "lang", "source", "n_chars")
+    row = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", contents.alias("contents"), F.monotonically_increasing_id().alias("number"))
+    return cut_lineage(docs.select(*COLUMNS, row.alias("__row")), "rows")
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep the first row of each group that shares 80 % of its five-word shingles, whatever the ids."""
+    rows = _numbered(docs)
+    kept = near_dedup.near_duplicates(rows, "__row").filter("kept").select(F.col("__row.number").alias("__kept"))
+    return rows.join(kept, F.col("__row.number") == F.col("__kept"), "left_semi").select(*COLUMNS)
 
 
 def hide_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,9 +49,9 @@ def hide_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeat documents for each whole epoch they are taken, and cut the last one of a source at its budget."""
-    taken = mixing.mix(docs).filter("taken > 0").select(F.col("doc_id").alias("__id"), "size", "taken")
-    taken = taken.dropDuplicates(["__id"])
-    rows = docs.join(taken, F.col("doc_id").eqNullSafe(F.col("__id")))
+    rows = _numbered(docs)
+    taken = mixing.mix(rows, row_column="__row").filter("taken > 0").select(F.col("__row.number").alias("__taken"), "size", "taken")
+    rows = rows.join(taken, F.col("__row.number") == F.col("__taken"))
     # One entry per copy: the number of words it keeps.
     whole = F.array_repeat(F.col("size"), F.floor(F.col("taken") / F.col("size")).cast("int"))
     rest = F.when(F.col("taken") % F.col("size") > 0, F.array(F.col("taken") % F.col("size"))).otherwise(F.array().cast("array<bigint>"))

@@ -57,13 +57,15 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MO
 
 
 def mix(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", source_column: str = "source",
-        weights: tuple[int, ...] = WEIGHTS, most: int = MOST_EPOCHS, seed: int = 1) -> DataFrame:
+        weights: tuple[int, ...] = WEIGHTS, most: int = MOST_EPOCHS, seed: int = 1, row_column: str | None = None) -> DataFrame:
     """Per row: id, source, `size` in words, `source_size`, `target` and `taken`, the words the mix takes.
 
     A row may be taken up to `most` times; the last row of a source may be taken in part, so a
     source's taken words are its target, rounded down.  Null texts have no words; a null source
-    is a source of its own, ordered last.  Repeated rows count each by itself.
+    is a source of its own, ordered last.  Repeated rows count each by itself; `row_column`, if
+    named, tells them apart, breaks ties of their order and is given out too.
     """
+    row = [F.col(f"`{row_column}`").alias("row")] if row_column else []
     # "0" and the name sorts by code point, "1" after all names.
     place = F.coalesce(F.concat(F.lit("0"), F.col(f"`{source_column}`").cast("string")), F.lit("1"))
     rows = cut_lineage(
@@ -73,6 +75,7 @@ def mix(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", s
             place.alias("place"),
             word_count(F.col(f"`{text_column}`")).alias("size"),
             random_key(F.col(f"`{id_column}`"), seed).alias("key"),
+            *row,
         ),
         "sized",
     )
@@ -83,7 +86,7 @@ def mix(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", s
     budgets = targets(sums.groupBy("place").agg(F.sum("words").alias("source_size")), weights, most)
     lower = Window.partitionBy("place").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sums.withColumn("below", F.coalesce(F.sum("words").over(lower), F.lit(0))).join(budgets, "place")
-    before = Window.partitionBy("place", "range").orderBy("key", "id", "size").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy("place", "range").orderBy("key", "id", "size", *(["row"] if row else [])).rowsBetween(Window.unboundedPreceding, -1)
     budget = F.floor("target")
     epochs = F.when(F.col("source_size") > 0, F.floor(budget / F.col("source_size"))).otherwise(F.lit(0))
     rest = budget - epochs * F.col("source_size")
@@ -97,6 +100,7 @@ def mix(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", s
             "source_size",
             "target",
             (epochs * F.col("size") + F.greatest(F.lit(0), F.least("size", rest - F.col("before")))).cast("long").alias("taken"),
+            *([F.col("row").alias(row_column)] if row else []),
         )
     )
 

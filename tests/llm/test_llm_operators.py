@@ -302,3 +302,23 @@ def test_pipeline_stages_take_effect(spark):
     assert words == {s: n for s, n in target.items() if n}
     last = corpus_pipeline.run(spark, SMALL)
     assert last.filter("not decodes").count() == 0 and last.count() >= mixed.count() * 0.9
+
+
+def test_pipeline_stages_keep_rows_apart_that_share_an_id(spark, odd):
+    clean = [(None, "first text without an id", "en", "a", 24), (None, "another one that has none", "en", "a", 25), (8, "eight words are enough to make this text", "en", "b", 40)]
+    copies = [(1, "a text of its own under a number in use", "en", "b", 39), (9, "eight words are enough to make this text", "en", "b", 40), (None, "eight words are enough to make this text", "en", "b", 40)]
+    docs = odd.select(*corpus_pipeline.COLUMNS).unionByName(spark.createDataFrame(clean + copies, "doc_id long, text string, lang string, source string, n_chars long"))
+    assert corpus_pipeline.drop_toxic(spark, docs, SMALL).count() == docs.count()
+    single = corpus_pipeline.drop_near_duplicates(spark, docs, SMALL)
+    got = sorted(((r["doc_id"], r["text"]) for r in single.collect()), key=str)
+    wanted = {(r[0], r[1]) for r in ODD if r[0] != 2} | {(r[0], r[1]) for r in clean + copies[:1]}
+    assert got == sorted(wanted, key=str)
+    assert sorted((str(r["doc_id"]), r["text"]) for r in corpus_pipeline.hide_personal_data(spark, single, SMALL).collect() if r["text"]) == sorted((str(i), x) for i, x in wanted if x)
+    # Rows that share an id are taken by their own sizes.
+    docs = docs.unionByName(docs.withColumn("text", F.concat("text", F.lit(" and more"))))
+    target = {r["source"]: int(r["target"]) for r in mixing.mix(docs).collect()}
+    mixed = corpus_pipeline.mix_sources(spark, docs, SMALL)
+    words = {r["source"]: r["n"] for r in mixed.groupBy("source").agg(F.sum(mixing.word_count(F.col("text"))).alias("n")).collect()}
+    assert words == {s: n for s, n in target.items() if n}
+    last = corpus_pipeline.encode_tokens(spark, mixed, SMALL)
+    assert last.filter("not decodes").count() == 0 and last.count() == mixed.count()
