@@ -93,7 +93,22 @@ def _card(value: Column, key: str) -> Column:
         body = _let(pair, lambda p: F.concat(_pad(p["l"], n - low), _pad(p["r"], low)))
         return _let(body, lambda x: F.concat(x, F.pmod(10 - luhn_sum(F.concat(x, F.lit("0"))) % 10, F.lit(10)).cast("string")))
 
-    return _let(_digits(value), lambda d: F.when(luhn_sum(d) % 10 == 0, _refill(value, permuted(d))).otherwise(value))
+    valid = lambda v: luhn_sum(_digits(v)) % 10 == 0
+    fresh = lambda v: _let(_digits(v), lambda d: _refill(v, permuted(d)))
+
+    def within(groups: Column) -> Column:
+        # Parts between separators, the longest valid one and of these the first; at most 19 digits hold one card.
+        n = F.size(groups)
+        joined = lambda first, many: F.array_join(F.slice(groups, first, many), "")
+        places = F.flatten(F.transform(F.sequence(F.lit(1), n), lambda i: F.transform(F.sequence(F.lit(1), n - i + 1), lambda many: F.struct(
+            (-F.length(_digits(joined(i, many)))).alias("less"), i.alias("first"), many.alias("many")))))
+        part = lambda p: joined(p["first"], p["many"])
+        best = F.array_min(F.filter(places, lambda p: F.when(p["less"] <= -13, valid(part(p))).otherwise(False)))
+        around = lambda p: F.concat(joined(F.lit(1), p["first"] - 1), fresh(part(p)), joined(p["first"] + p["many"], n))
+        return _let(best, lambda p: F.when(p.isNull(), value).otherwise(around(p)))
+
+    groups = F.regexp_extract_all(value, F.lit("[0-9]+[ -]?"), F.lit(0))
+    return F.when(valid(value), fresh(value)).otherwise(_let(groups, within))
 
 
 def _phone(value: Column, key: str) -> Column:

@@ -241,6 +241,16 @@ def test_pseudonyms_are_valid_linked_and_permuted(spark, odd, none):
     assert pii.pseudonymise(none, "k").count() == 0
 
 
+def test_cards_next_to_other_digits_are_replaced(spark):
+    card, spaced = "4111111111111111", "4111 1111 1111 1111"
+    texts = [card, spaced, f"{spaced} 12/25", f"{card} 123", f"order 12 {card}", f"1-{spaced}-22", "order 12 4111111111111112"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = [(r["text"], r["n"]) for r in pii.pseudonymise(docs, "k", count_column="n").orderBy("doc_id").collect()]
+    fresh, fresh_spaced = got[0][0], got[1][0]
+    assert fresh != card and fresh_spaced != spaced
+    assert got == [(t.replace(card, fresh).replace(spaced, fresh_spaced), int(t != texts[-1])) for t in texts]
+
+
 def test_quality_is_right_on_held_out_rows(spark, odd, none):
     folder = "/root/testdata/sf0.01"
     labels = spark.read.parquet(f"{folder}/labels.parquet")
