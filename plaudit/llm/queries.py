@@ -6,11 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from plaudit.llm import bpe, fingerprints, mixing, near_dedup, neighbours, pii, quality, sharding, toxicity, warc
+from plaudit.llm import alignment, bpe, fingerprints, mixing, near_dedup, neighbours, pii, quality, sharding, toxicity, vector_dedup, warc
 from plaudit.session import cut_lineage, new_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {"op6_mixing": mixing.MIX_SQL}
+ORACLES: dict[str, str] = {"op6_mixing": mixing.MIX_SQL, "op12_vector_dedup": vector_dedup.LINKS_SQL}
 PII_KEY = "production-key"
 TOXIC_FROM = 0.7
 GOOD_FROM = 0.5
@@ -25,10 +25,10 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def vocabulary_path() -> str:
+def vocabulary_path(name: str = "byte_bpe_50k.json") -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.json")
+    return public_tokenizers.path(name)
 
 
 @_query
@@ -106,3 +106,15 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
         "score",
         F.when(F.col("score") >= TOXIC_FROM, 1).otherwise(0).cast("int").alias("predicted"),
     )
+
+
+@_query
+def op11_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    """How the tokens of a byte-level and a sentence-piece vocabulary fit on every document."""
+    return alignment.alignment(_table(spark, folder, "documents"), vocabulary_path(), vocabulary_path("piece_bpe_32k.model"))
+
+
+@_query
+def op12_vector_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Links, components and representatives of vectors of one label with a cosine of at least 0.98."""
+    return vector_dedup.near_duplicate_vectors(_table(spark, folder, "embeddings"))
