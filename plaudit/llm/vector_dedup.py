@@ -286,8 +286,8 @@ LINKS_SQL = """
 WITH RECURSIVE v AS (
   SELECT row_number() OVER () AS row, vec_id, label, embedding::DOUBLE[] AS x,
          label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
-         AND len(list_filter(embedding, e -> e IS NULL OR NOT isfinite(e))) = 0
-         AND len(list_filter(embedding, e -> e <> 0)) > 0 AS usable
+         AND len(list_filter(embedding, lambda e: e IS NULL OR NOT isfinite(e))) = 0
+         AND len(list_filter(embedding, lambda e: e <> 0)) > 0 AS usable
   FROM embeddings
 ), links AS (
   SELECT a.row AS a, b.row AS b
