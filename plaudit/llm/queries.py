@@ -6,11 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from plaudit.llm import alignment, bpe, fingerprints, mixing, near_dedup, neighbours, pii, quality, sharding, toxicity, vector_dedup, warc
+from plaudit.llm import alignment, bpe, fingerprints, lexical, mixing, near_dedup, neighbours, pii, quality, sharding, toxicity, vector_dedup, warc
 from plaudit.session import cut_lineage, new_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {"op6_mixing": mixing.MIX_SQL, "op12_vector_dedup": vector_dedup.LINKS_SQL}
+ORACLES: dict[str, str] = {"op6_mixing": mixing.MIX_SQL, "op12_vector_dedup": vector_dedup.LINKS_SQL, "op13_lexical_search": lexical.SEARCH_SQL}
 PII_KEY = "production-key"
 TOXIC_FROM = 0.7
 GOOD_FROM = 0.5
@@ -118,3 +118,9 @@ def op11_alignment(spark: SparkSession, folder: str) -> DataFrame:
 def op12_vector_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Links, components and representatives of vectors of one label with a cosine of at least 0.98."""
     return vector_dedup.near_duplicate_vectors(_table(spark, folder, "embeddings"))
+
+
+@_query
+def op13_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    """The 50 documents that score highest for every benchmark item."""
+    return lexical.search(lexical.build_index(_table(spark, folder, "documents")), _table(spark, folder, "benchmark"))
