@@ -286,7 +286,7 @@ def similar_businesses(
 
     The k nearest are chosen first, the shared-reviewer threshold applies to them.
     """
-    spots = graph.located_in.join(F.broadcast(cities.select("city")), "city", "left_semi")
+    spots = graph.located_in.join(cities.select("city"), "city", "left_semi")
     # One row per business; only its reviewers matter, not how often they came.
     visits = hot_key_join(graph.reviewed, spots, "business_id", ["review_id"]).select(
         F.col("city").alias("group"), F.col("business_id").alias("item"), F.col("user_id").alias("member")
