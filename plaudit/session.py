@@ -5,6 +5,8 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -43,6 +45,30 @@ def new_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+# Paths written by `cut_lineage`, one list per open `temporary_tables`.
+_written: list[list[str]] = []
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a table on any Hadoop file system; nothing happens if it is gone."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
+@contextmanager
+def temporary_tables(spark: SparkSession) -> Iterator[None]:
+    """Delete at the end every table that `cut_lineage` wrote inside the block.
+
+    What the block computes must have been written by then: a plan that still reads one of these tables fails.
+    """
+    _written.append([])
+    try:
+        yield
+    finally:
+        for path in _written.pop():
+            remove_path(spark, path)
+
+
 def cut_lineage(df: DataFrame, label: str = "stage") -> DataFrame:
     """Write `df` to the shared folder once and return a scan of what was written.
 
@@ -51,5 +77,7 @@ def cut_lineage(df: DataFrame, label: str = "stage") -> DataFrame:
     """
     spark = df.sparkSession
     path = new_path(spark, label)
+    if _written:
+        _written[-1].append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
