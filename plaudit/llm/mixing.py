@@ -105,6 +105,59 @@ def mix(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", s
     )
 
 
+def place_of(source: Column) -> Column:
+    """"0" and the name sorts by code point, "1" (null) after all names."""
+    return F.coalesce(F.concat(F.lit("0"), source.cast("string")), F.lit("1"))
+
+
+def row_key(columns: list[str], seed: int = 1) -> Column:
+    """32 hexadecimal digits that look random and depend on all contents of a row, so a repeated id is no hot key."""
+    contents = [F.xxhash64(F.lit(i), *[F.col(f"`{c}`") for c in columns]).cast("string") for i in range(2)]
+    return F.md5(F.concat_ws("|", F.lit(str(seed)), *contents))
+
+
+def cuts(docs: DataFrame, text_column: str = "text", source_column: str = "source",
+         weights: tuple[int, ...] = WEIGHTS, most: int = MOST_EPOCHS, seed: int = 1) -> DataFrame:
+    """The mix as one row per source, from which every row can be decided where it lies (`taken_of`).
+
+    `place` is `place_of` the source; the mix takes every row `epochs` times, rows whose
+    `row_key` over all columns is below `cut` once more, and `cut_words` words of a row at the cut.
+    Rows equal in all columns share what falls to them equally, rounded down.  No rows give no cuts.
+    """
+    rows = cut_lineage(
+        docs.select(place_of(F.col(f"`{source_column}`")).alias("place"), word_count(F.col(f"`{text_column}`")).alias("size"),
+                    row_key(docs.columns, seed).alias("key")),
+        "sized",
+    )
+    n = rows.count()
+    digits = max(1, math.ceil(math.log(n / RANGE_ROWS, 16))) if n > RANGE_ROWS else 1
+    rows = rows.withColumn("range", F.substring("key", 1, digits))
+    sums = cut_lineage(rows.groupBy("place", "range").agg(F.sum("size").alias("words")), "ranges")
+    budgets = targets(sums.groupBy("place").agg(F.sum("words").alias("source_size")), weights, most)
+    budget = F.floor("target")
+    epochs = F.when(F.col("source_size") > 0, F.floor(budget / F.col("source_size"))).otherwise(F.lit(0)).cast("long")
+    budgets = budgets.withColumn("epochs", epochs).withColumn("rest", (budget - F.col("epochs") * F.col("source_size")).cast("long"))
+    lower = Window.partitionBy("place").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    below = sums.withColumn("below", F.coalesce(F.sum("words").over(lower), F.lit(0)))
+    at_cut = (F.col("below") <= F.col("rest")) & (F.col("below") + F.col("words") > F.col("rest"))
+    cut_range = below.join(budgets, "place").filter(at_cut).select("place", "range", "below", "rest")
+    # Only the range that holds a source's cut is put in order.
+    inside = rows.join(cut_range, ["place", "range"]).groupBy("place", "key", "size", "below", "rest").agg(F.count(F.lit(1)).alias("copies"))
+    before = Window.partitionBy("place").orderBy("key").rowsBetween(Window.unboundedPreceding, -1)
+    words = F.col("size") * F.col("copies")
+    reached = inside.withColumn("before", F.col("below") + F.coalesce(F.sum(words).over(before), F.lit(0))).filter(
+        (F.col("before") <= F.col("rest")) & (F.col("before") + words > F.col("rest"))
+    )
+    ends = reached.select("place", F.col("key").alias("cut"), F.floor((F.col("rest") - F.col("before")) / F.col("copies")).alias("cut_words"))
+    return cut_lineage(budgets.join(ends, "place", "left").select("place", "source_size", "target", "epochs", "cut", "cut_words"), "cuts")
+
+
+def taken_of(size: Column, key: Column) -> Column:
+    """Words taken of a row that has met the cut of its source."""
+    once_more = F.when(key < F.col("cut"), size).when(key == F.col("cut"), F.col("cut_words")).otherwise(F.lit(0))
+    return (F.col("epochs") * size + F.coalesce(once_more, F.lit(0))).cast("long")
+
+
 MIX_SQL = f"""
 WITH sized AS (
     SELECT doc_id, CASE WHEN source IS NULL THEN '1' ELSE '0' || source END AS place,

@@ -17,15 +17,19 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 ROUNDS = 8
 # Candidates in the order in which they are tried at a position.
-EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"
+# Repeated groups are possessive: the engine follows them in a loop, not by recursion, at any length.
+EMAIL = r"(?<![\p{L}\p{M}\p{N}._%+-])[\p{L}\p{M}\p{N}._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"
 IPV4 = r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?!\.?[0-9])"
 ISO_DATE = r"(?<![0-9-])[0-9]{4}-[0-9]{2}-[0-9]{2}(?![0-9-])"
 SLASH_DATE = r"(?<![0-9/])[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}(?![0-9/])"
 DOT_DATE = r"(?<![0-9.])[0-9]{1,2}\.[0-9]{1,2}\.[0-9]{4}(?![0-9])"
 SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
 PHONE = r"(?<![0-9])(?:\+1[ .-]?)?(?:\([2-9][0-9]{2}\) ?|[2-9][0-9]{2}[ .-])[2-9][0-9]{2}[ .-][0-9]{4}(?![0-9])"
-CARD = r"(?<![0-9])(?:[0-9][ -]?){12,18}[0-9](?![0-9])"
+# A whole run of digits and single separators, however long; cards are looked for inside.
+CARD = r"(?<![0-9])[0-9](?:[ -]?[0-9]){12,}+"
+CARD_DIGITS = (13, 19)
 CANDIDATE = "|".join([EMAIL, IPV4, ISO_DATE, SLASH_DATE, DOT_DATE, SSN, PHONE, CARD])
+OTHER_LETTER = r"^[\p{L}&&[\x{A0}-\x{D7FF}]]$"
 # 400 years of the Gregorian calendar, 189 x 773 days, then repeat.
 CYCLE_DAYS, CYCLE_A, CYCLE_B = 146097, 189, 773
 
@@ -93,22 +97,40 @@ def _card(value: Column, key: str) -> Column:
         body = _let(pair, lambda p: F.concat(_pad(p["l"], n - low), _pad(p["r"], low)))
         return _let(body, lambda x: F.concat(x, F.pmod(10 - luhn_sum(F.concat(x, F.lit("0"))) % 10, F.lit(10)).cast("string")))
 
-    valid = lambda v: luhn_sum(_digits(v)) % 10 == 0
     fresh = lambda v: _let(_digits(v), lambda d: _refill(v, permuted(d)))
+    fewest, most = CARD_DIGITS
 
     def within(groups: Column) -> Column:
-        # Parts between separators, the longest valid one and of these the first; at most 19 digits hold one card.
+        # From every group on, the longest valid run of groups; then, from the left, those that do not overlap.
         n = F.size(groups)
         joined = lambda first, many: F.array_join(F.slice(groups, first, many), "")
-        places = F.flatten(F.transform(F.sequence(F.lit(1), n), lambda i: F.transform(F.sequence(F.lit(1), n - i + 1), lambda many: F.struct(
-            (-F.length(_digits(joined(i, many)))).alias("less"), i.alias("first"), many.alias("many")))))
-        part = lambda p: joined(p["first"], p["many"])
-        best = F.array_min(F.filter(places, lambda p: F.when(p["less"] <= -13, valid(part(p))).otherwise(False)))
-        around = lambda p: F.concat(joined(F.lit(1), p["first"] - 1), fresh(part(p)), joined(p["first"] + p["many"], n))
-        return _let(best, lambda p: F.when(p.isNull(), value).otherwise(around(p)))
 
-    groups = F.regexp_extract_all(value, F.lit("[0-9]+[ -]?"), F.lit(0))
-    return F.when(valid(value), fresh(value)).otherwise(_let(groups, within))
+        def holds(part: Column) -> Column:
+            size = F.length(part)
+            return F.when(size.between(fewest, most), luhn_sum(part) % 10 == 0).otherwise(False)
+
+        def longest(i: Column) -> Column:
+            runs = F.sequence(F.lit(1), F.least(F.lit(most), n - i + 1))
+            best = F.array_max(F.filter(runs, lambda many: _let(_digits(joined(i, many)), holds)))
+            return F.struct(i.alias("first"), best.alias("many"))
+
+        runs = F.filter(F.transform(F.sequence(F.lit(1), n), longest), lambda r: r["many"].isNotNull())
+        nothing = F.array().cast("array<struct<begin:int,first:int,many:int>>")
+        start = F.struct(F.lit(1).alias("free"), nothing.alias("picks"))
+
+        def pick(s: Column, r: Column) -> Column:
+            one = F.struct(s["free"].alias("begin"), r["first"].alias("first"), r["many"].alias("many"))
+            taken = F.struct((r["first"] + r["many"]).alias("free"), F.array_append(s["picks"], one).alias("picks"))
+            return F.when(r["first"] >= s["free"], taken).otherwise(s)
+
+        def rebuilt(s: Column) -> Column:
+            before = lambda p: joined(p["begin"], p["first"] - p["begin"])
+            parts = F.transform(s["picks"], lambda p: F.concat(before(p), fresh(joined(p["first"], p["many"]))))
+            return F.concat(F.array_join(parts, ""), joined(s["free"], n))
+
+        return _let(F.aggregate(runs, start, pick), rebuilt)
+
+    return _let(F.regexp_extract_all(value, F.lit("[0-9]+[ -]?"), F.lit(0)), within)
 
 
 def _phone(value: Column, key: str) -> Column:
@@ -191,7 +213,10 @@ def _date(value: Column, key: str, separator: str, order: tuple[str, str, str])
 
 
 def _email(value: Column, key: str) -> Column:
-    """Letters and digits of the part before the @ move within lower case, upper case and digits."""
+    """Characters of the part before the @ move within lower case, upper case and digits.
+
+    Letters of other scripts move among the 16 code points of their block; beyond the 16-bit plane they stay.
+    """
     local = F.element_at(F.split(value, "@"), 1)
     low = F.floor(F.length(local) / 2).cast("int")
     start = F.struct(F.substr(local, F.lit(1), low).alias("l"), F.substr(local, low + 1, F.length(local)).alias("r"))
@@ -200,8 +225,11 @@ def _email(value: Column, key: str) -> Column:
         def shifted(letter: Column, place: Column, digest: Column) -> Column:
             move = F.conv(F.substr(digest, F.pmod(place * 4, F.lit(60)).cast("int") + 1, F.lit(4)), 16, 10).cast("int")
             within = lambda first, size: F.chr(F.pmod(F.ascii(letter) - ord(first) + move, F.lit(size)) + ord(first))
+            code = F.conv(F.hex(F.encode(letter, "UTF-16BE")), 16, 10).cast("long")
+            block = F.floor(code / 16) * 16 + F.pmod(code + move, F.lit(16))
+            other = F.decode(F.unhex(F.lpad(F.hex(block), 4, "0")), "UTF-16BE")
             return (F.when(letter.rlike("^[a-z]$"), within("a", 26)).when(letter.rlike("^[A-Z]$"), within("A", 26))
-                    .when(letter.rlike("^[0-9]$"), within("0", 10)).otherwise(letter))
+                    .when(letter.rlike("^[0-9]$"), within("0", 10)).when(letter.rlike(OTHER_LETTER), other).otherwise(letter))
 
         digest = F.sha2(F.concat_ws("|", F.lit(key), F.lit("email"), F.length(local).cast("string"), i.cast("string"), s["r"]), 256)
         letters = F.filter(F.split(s["l"], ""), lambda c: c != "")
@@ -240,12 +268,21 @@ def pseudonymise(docs: DataFrame, key: str, text_column: str = "text", count_col
     text = F.col(f"`{text_column}`")
     none = F.array().cast("array<string>")
     found = F.when(text.rlike("[0-9@]"), F.regexp_extract_all(text, F.lit(CANDIDATE), F.lit(0))).otherwise(none)
-    searched = docs.withColumn("__found", found)
-    searched = searched.withColumn("__new", F.transform("__found", lambda value: pseudonym(value, key)))
+    old, new = (_free(docs, name) for name in ("found", "new"))
+    searched = docs.withColumn(old, found)
+    searched = searched.withColumn(new, F.transform(old, lambda value: pseudonym(value, key)))
     between = F.split(text, CANDIDATE, -1)
-    pieces = F.zip_with(between, "__new", lambda gap, new: F.concat(gap, F.coalesce(new, F.lit(""))))
-    fresh = F.when(F.size("__found") == 0, text).otherwise(F.array_join(pieces, ""))
+    pieces = F.zip_with(between, new, lambda gap, put: F.concat(gap, F.coalesce(put, F.lit(""))))
+    fresh = F.when(F.size(old) == 0, text).otherwise(F.array_join(pieces, ""))
     if count_column:
-        changed = F.filter(F.zip_with("__found", "__new", lambda old, new: old != new), lambda x: x)
+        changed = F.filter(F.zip_with(old, new, lambda was, put: was != put), lambda x: x)
         searched = searched.withColumn(count_column, F.when(text.isNull(), 0).otherwise(F.size(changed)).cast("long"))
-    return searched.withColumn(text_column, fresh).drop("__found", "__new")
+    return searched.withColumn(text_column, fresh).drop(old, new)
+
+
+def _free(docs: DataFrame, name: str) -> str:
+    """A name no column of `docs` has."""
+    taken = {c.lower() for c in docs.columns}
+    while name in taken:
+        name += "_"
+    return name

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import secrets
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -11,7 +12,8 @@ from plaudit.session import cut_lineage, new_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {"op6_mixing": mixing.MIX_SQL, "op12_vector_dedup": vector_dedup.LINKS_SQL, "op13_lexical_search": lexical.SEARCH_SQL}
-PII_KEY = "production-key"
+# Session option that holds the key of pseudonyms.
+PSEUDONYM_KEY = "spark.plaudit.pseudonymKey"
 TOXIC_FROM = 0.7
 GOOD_FROM = 0.5
 
@@ -31,6 +33,13 @@ def vocabulary_path(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def pseudonym_key(spark: SparkSession) -> str:
+    """The key named by the session; without one, a random key that lasts as long as the session."""
+    if spark.conf.get(PSEUDONYM_KEY, None) is None:
+        spark.conf.set(PSEUDONYM_KEY, secrets.token_hex(32))
+    return spark.conf.get(PSEUDONYM_KEY)
+
+
 @_query
 def op1_bpe(spark: SparkSession, folder: str) -> DataFrame:
     """Token counts and digests of ids and decoded text."""
@@ -75,7 +84,7 @@ def op6_mixing(spark: SparkSession, folder: str) -> DataFrame:
 def op7_pii(spark: SparkSession, folder: str) -> DataFrame:
     """All texts with pseudonyms for personal data and the number of values replaced."""
     docs = _table(spark, folder, "documents").select("doc_id", "text")
-    return pii.pseudonymise(docs, PII_KEY, count_column="n_replaced")
+    return pii.pseudonymise(docs, pseudonym_key(spark), count_column="n_replaced")
 
 
 @_query

@@ -251,6 +251,23 @@ def test_cards_next_to_other_digits_are_replaced(spark):
     assert got == [(t.replace(card, fresh).replace(spaced, fresh_spaced), int(t != texts[-1])) for t in texts]
 
 
+def test_cards_in_long_runs_and_addresses_of_any_length_and_script(spark):
+    card, dashed = "4111 1111 1111 1111", "4111-1111-1111-1111"
+    texts = [card, dashed, f"ref 1234 {card}", f"2024 {dashed}", f"{card} {dashed} {card}", "1 2 3 4 " * 2000, "a@" + "b." * 100_000 + "com",
+             "x" * 100_000 + "@y.de", "7 " * 50_000, "j\u00fcrgen.m@x.de", "\u044e\u0440\u0438\u0439@x.de"]
+    docs = spark.createDataFrame([(i, t, "f", "n") for i, t in enumerate(texts)], "doc_id long, text string, found string, new string")
+    rows = pii.pseudonymise(docs, "k", count_column="n").orderBy("doc_id").collect()
+    got = [r["text"] for r in rows]
+    assert [(r["found"], r["new"]) for r in rows] == [("f", "n")] * len(texts)
+    assert got[2] == texts[2].replace(card, got[0]) and got[3] == texts[3].replace(dashed, got[1])
+    assert [rows[i]["n"] for i in (0, 1, 2, 3)] == [1] * 4
+    assert got[4] == f"{got[0]} {got[1]} {got[0]}" and card not in got[4]
+    assert all(len(a) == len(b) for a, b in zip(got, texts))
+    assert got[6] != texts[6] and got[6][1:] == texts[6][1:]
+    assert got[9] != texts[9] and got[9][1] != "\u00fc" and got[9].endswith("@x.de")
+    assert not set(got[10][:4]) & set("abcdefghijklmnopqrstuvwxyz") and got[10] != texts[10]
+
+
 def test_quality_is_right_on_held_out_rows(spark, odd, none):
     folder = "/root/testdata/sf0.01"
     labels = spark.read.parquet(f"{folder}/labels.parquet")
