@@ -9,8 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from plaudit.llm import bpe, mixing, near_dedup, pii, toxicity
-from plaudit.llm.queries import PII_KEY, TOXIC_FROM, vocabulary_path
-from plaudit.session import cut_lineage
+from plaudit.llm.queries import TOXIC_FROM, pseudonym_key, vocabulary_path
+from plaudit.session import cut_lineage, new_path, remove_path, temporary_tables
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 # No single SQL statement can train the classifier, confirm shingle sets or merge tokens;
@@ -24,34 +24,45 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model, name="__score").filter(F.col("__score") < TOXIC_FROM).select(*COLUMNS)
 
 
-def _numbered(docs: DataFrame) -> DataFrame:
-    """`docs` with `__row`, written once, so that every later read finds the same rows under the same number.
-
-    It is ordered by id (null last), contents and number.
-    """
-    contents = F.xxhash64("text", "lang", "source", "n_chars")
-    row = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", contents.alias("contents"), F.monotonically_increasing_id().alias("number"))
-    return cut_lineage(docs.select(*COLUMNS, row.alias("__row")), "rows")
+def _row(docs: DataFrame) -> DataFrame:
+    """`docs` with `__row`, which orders rows by id (null last) and 128 bits of their contents; equal rows share it."""
+    contents = [F.xxhash64(F.lit(i), *COLUMNS).alias(f"contents{i}") for i in range(2)]
+    key = F.struct(F.col("doc_id").isNull().alias("no_id"), F.coalesce("doc_id", F.lit(0)).alias("id"), *contents)
+    return docs.select(*COLUMNS, key.alias("__row"))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the first row of each group that shares 80 % of its five-word shingles, whatever the ids."""
-    rows = _numbered(docs)
-    kept = near_dedup.near_duplicates(rows, "__row").filter("kept").select(F.col("__row.number").alias("__kept"))
-    return rows.join(kept, F.col("__row.number") == F.col("__kept"), "left_semi").select(*COLUMNS)
+    """Keep the first row of each group that shares 80 % of its five-word shingles, whatever the ids.
+
+    Rows are told apart by their id and contents, so none is copied to number it; of rows equal in
+    all columns one stays.
+    """
+    rows = _row(docs)
+    found = near_dedup.near_duplicates(rows, "__row")
+    kept = cut_lineage(found.filter("kept").groupBy("__row").agg(F.count(F.lit(1)).alias("copies")), "kept")
+    single = rows.join(kept.filter("copies = 1"), "__row", "left_semi")
+    if kept.filter("copies > 1").isEmpty():
+        return single.select(*COLUMNS)
+    repeated = rows.join(kept.filter("copies > 1"), "__row", "left_semi").dropDuplicates(["__row"])
+    return single.unionByName(repeated).select(*COLUMNS)
 
 
 def hide_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replace personal data by pseudonyms of the same format."""
-    fresh = pii.pseudonymise(docs.select(*COLUMNS), PII_KEY)
+    fresh = pii.pseudonymise(docs.select(*COLUMNS), pseudonym_key(spark))
     return fresh.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeat documents for each whole epoch they are taken, and cut the last one of a source at its budget."""
-    rows = _numbered(docs)
-    taken = mixing.mix(rows, row_column="__row").filter("taken > 0").select(F.col("__row.number").alias("__taken"), "size", "taken")
-    rows = rows.join(taken, F.col("__row.number") == F.col("__taken"))
+    """Repeat documents for each whole epoch they are taken, and cut the last one of a source at its budget.
+
+    Every row is decided where it lies: it meets one row per source, and no text is moved.
+    """
+    docs = docs.select(*COLUMNS)
+    place, key = mixing.place_of(F.col("source")), mixing.row_key(COLUMNS)
+    sized = docs.withColumn("place", place).withColumn("size", mixing.word_count(F.col("text"))).withColumn("key", key)
+    rows = sized.join(mixing.cuts(docs), "place").withColumn("taken", mixing.taken_of(F.col("size"), F.col("key")))
+    rows = rows.filter("taken > 0")
     # One entry per copy: the number of words it keeps.
     whole = F.array_repeat(F.col("size"), F.floor(F.col("taken") / F.col("size")).cast("int"))
     rest = F.when(F.col("taken") % F.col("size") > 0, F.array(F.col("taken") % F.col("size"))).otherwise(F.array().cast("array<bigint>"))
@@ -81,8 +92,16 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over `documents`, each written before the next one reads it."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages over `documents`, each written before the next one reads it.
+
+    Tables that a stage needed meanwhile go when its output is written, and its input with them.
+    """
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES[:-1]:
-        docs = cut_lineage(stage(spark, docs, sf_dir), name)
+        path = new_path(spark, name)
+        with temporary_tables(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
+        if before:
+            remove_path(spark, before)
+        docs, before = spark.read.parquet(path), path
     return STAGES[-1][1](spark, docs, sf_dir)
