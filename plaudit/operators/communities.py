@@ -1,20 +1,31 @@
-"""Community detection by greedy modularity (after Blondel et al. 2008), in rounds.
+"""Community detection by greedy modularity, in rounds.
 
 Vertices decide simultaneously instead of one after the other.  In each round half
 of the communities, drawn by hash, may be left and only the other half may be
-joined, so no vertex follows a neighbour that is moving away itself.  The result is
-a modularity maximum of the same kind, not the partition of a sequential run.
+joined, so no vertex follows a neighbour that is moving away itself.  Only the frontier is
+scored: vertices that moved, that could not do so yet, or that have a neighbour that moved.
+
+Before vertices are contracted, every community is refined (after Traag et al. 2019): its vertices start
+alone again and single ones merge along links inside the community.  The refined parts become the
+vertices of the next level and start in the community they came from, so a part that fits
+elsewhere can still leave, and communities stay connected.  The result is a modularity
+maximum of the usual kind, not the partition of a sequential run.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable
+from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F
 
-from plaudit.operators.skew import HotKeys, salted_join
+from plaudit.operators.skew import HotKeys
 from plaudit.session import cut_lineage
 
+# A better place has to gain at least this much weight.
+LEAST_GAIN = 1e-9
+ROUNDS = "level int, phase string, round int, active long, moved long, modularity double"
+
 
 def modularity(edges: DataFrame, membership: DataFrame) -> float:
     """Modularity of `membership` (`id`, `community`) on symmetric `src`, `dst`, `w` edges."""
@@ -39,138 +50,176 @@ def modularity(edges: DataFrame, membership: DataFrame) -> float:
     return row["inner"] / row["m2"] - row["squares"] / (row["m2"] * row["m2"])
 
 
+@dataclass
+class Convergence:
+    """What happened in every round: vertices scored, vertices moved, modularity before the moves."""
+
+    rounds: list[tuple] = field(default_factory=list)
+
+    def table(self, spark) -> DataFrame:
+        return spark.createDataFrame(self.rounds, ROUNDS)
+
+
 def louvain(
     vertices: DataFrame,
     edges: DataFrame,
     levels: int = 10,
-    rounds: int = 8,
+    rounds: int = 6,
     tolerance: float = 1e-4,
-    round_tolerance: float = 2e-3,
+    round_tolerance: float = 1e-3,
+    refinements: int = 3,
+    convergence: Convergence | None = None,
     **hot_limits,
 ) -> DataFrame:
     """`id`, `community` for every vertex; a community is named by one of its members.
 
     `edges` holds both directions of every undirected edge as `src`, `dst`, `w`.
-    Levels go on until two in a row gain less than `tolerance`; inside a level a round that
-    gains less than `round_tolerance` ends it, as the next level moves whole groups.
+    Levels go on until one gains less than `tolerance`.  A level ends when no vertex wishes to move, when
+    two rounds in a row gain less than `round_tolerance`, as the next one moves whole parts, or
+    after `rounds`.  `convergence` collects what each round did.
     """
-    membership = cut_lineage(vertices.select("id", F.col("id").alias("community")), "membership")
+    convergence = convergence or Convergence()
+    membership = cut_lineage(vertices.select("id", F.col("id").alias("part")), "membership")
     graph = cut_lineage(edges.groupBy("src", "dst").agg(F.sum("w").alias("w")), "edges")
-    idle = 0
+    parents = None
     for level in range(levels):
-        # Other draws on every level, as contracted communities keep their names.
-        draws = range(level * (rounds + 1), (level + 1) * (rounds + 1))
-        moved, gained = _local_moves(graph, draws, round_tolerance, hot_limits)
-        idle = idle + 1 if gained < tolerance else 0
-        if idle >= 2:
+        nodes = graph.groupBy(F.col("src").alias("id")).agg(
+            F.sum("w").alias("k"), F.sum(F.when(F.col("src") == F.col("dst"), F.col("w")).otherwise(0.0)).alias("loop")
+        )
+        start = F.col("id").alias("community") if parents is None else F.coalesce("community", "id").alias("community")
+        nodes = nodes if parents is None else nodes.join(parents, "id", "left")
+        nodes = cut_lineage(nodes.select("id", "k", "loop", start), "nodes")
+        m2 = nodes.agg(F.sum("k")).first()[0]
+        if not m2:
+            break
+        spread = HotKeys.find(graph, "dst", **hot_limits)
+        between = graph.filter(F.col("src") != F.col("dst"))
+        # Other draws in every round, as contracted communities keep their names.
+        draws = range(2 * level * (rounds + 1), (2 * level + 1) * (rounds + 1))
+        log = (convergence, level, "move")
+        parents, gained = _local_moves(between, nodes, spread, m2, draws, round_tolerance, log)
+        if gained < tolerance:
             break
-        if moved is None:
-            continue
-        step = moved.select(F.col("id").alias("community"), F.col("community").alias("merged"))
+        inside = cut_lineage(_inside(between, parents, spread), "inside")
+        single = nodes.select("id", "k", "loop", F.col("id").alias("community"))
+        draws = range((2 * level + 1) * (rounds + 1), (2 * level + 2) * (rounds + 1))
+        log = (convergence, level, "refine")
+        parts, _ = _local_moves(inside, single, spread, m2, draws[:refinements], round_tolerance, log, single=True)
+        parts = parts.select("id", F.col("community").alias("part"))
         membership = cut_lineage(
-            salted_join(membership, step, "community", ["id"], "left").select(
-                "id", F.coalesce("merged", "community").alias("community")
+            membership.join(parts.withColumnRenamed("part", "finer"), F.col("part") == parts["id"], "left").select(
+                membership["id"], F.coalesce("finer", "part").alias("part")
             ),
             "membership",
         )
-        side = moved.select(F.col("id").alias("src"), F.col("community").alias("c_src"))
-        other = moved.select(F.col("id").alias("dst"), F.col("community").alias("c_dst"))
-        contracted = (
-            salted_join(salted_join(graph, side, "src", ["dst"]), other, "dst", ["src"])
-            .groupBy(F.col("c_src").alias("src"), F.col("c_dst").alias("dst"))
-            .agg(F.sum("w").alias("w"))
-        )
+        left = parts.select(F.col("id").alias("src"), F.col("part").alias("part_src"))
+        right = parts.select(F.col("id").alias("dst"), F.col("part").alias("part_dst"))
+        sources = HotKeys("src", spread.values, spread.fanout)
+        placed = spread.join(sources.join(graph, left, ["dst"]), right, ["src"])
+        contracted = placed.groupBy(F.col("part_src").alias("src"), F.col("part_dst").alias("dst")).agg(F.sum("w").alias("w"))
         graph = cut_lineage(contracted, "edges")
-    return membership
+        # All vertices of a part have one community.
+        parents = cut_lineage(
+            parents.join(parts, "id").groupBy(F.col("part").alias("id")).agg(F.first("community").alias("community")), "parents"
+        )
+    if parents is None:
+        return membership.withColumnRenamed("part", "community")
+    named = parents.select(F.col("id").alias("part"), "community")
+    found = membership.join(named, "part", "left").select("id", F.coalesce("community", "part").alias("community"))
+    return cut_lineage(found, "membership")
+
+
+def _inside(between: DataFrame, communities: DataFrame, spread: HotKeys) -> DataFrame:
+    """Edges whose ends have one community."""
+    left = communities.select(F.col("id").alias("src"), F.col("community").alias("c_src"))
+    right = communities.select(F.col("id").alias("dst"), F.col("community").alias("c_dst"))
+    sources = HotKeys("src", spread.values, spread.fanout)
+    both = spread.join(sources.join(between, left, ["dst"]), right, ["src"])
+    return both.filter(F.col("c_src") == F.col("c_dst")).select("src", "dst", "w")
 
 
 def _local_moves(
-    graph: DataFrame, draws: Iterable[int], tolerance: float, hot_limits: dict
-) -> tuple[DataFrame | None, float]:
+    between: DataFrame, nodes: DataFrame, spread: HotKeys, m2: float, draws: Iterable[int], tolerance: float, log, single: bool = False
+) -> tuple[DataFrame, float]:
     """Move vertices between neighbouring communities until modularity stops rising.
 
-    Returns the best assignment found (None if nothing was gained) and its gain.
-    Every round is one job: the table it writes also holds what the modularity of
-    the assignment it started from needs.
+    Returns the best assignment found and its gain.  A round is one written table, which
+    also holds what the modularity of the assignment it started from needs.  With `single` only
+    vertices that are alone may move.
     """
-    spread = HotKeys.find(graph, "dst", **hot_limits)
-    between = graph.filter(F.col("src") != F.col("dst"))
-    homes = cut_lineage(
-        graph.groupBy(F.col("src").alias("id")).agg(
-            F.sum("w").alias("k"),
-            F.sum(F.when(F.col("src") == F.col("dst"), F.col("w")).otherwise(0.0)).alias("loop"),
-            F.first("src").alias("community"),
-        ),
-        "nodes",
-    )
-    m2 = homes.agg(F.sum("k")).first()[0]
-    if not m2:
-        return None, 0.0
-    best, best_score, start, stalled = None, None, None, 0
-    for draw in draws:
-        result = cut_lineage(_one_round(between, homes, spread, m2, draw), "nodes")
-        summary = result.agg(
+    convergence, level, phase = log
+    state = nodes.withColumn("home_links", F.lit(None).cast("double")).withColumn("active", F.lit(True))
+    best, best_score, first_score, stalled = nodes, None, None, 0
+    for turn, draw in enumerate(draws):
+        seen = Observation()
+        moves = _one_round(between, state, spread, m2, draw, single).observe(
+            seen,
             F.sum(F.col("home_links") + F.col("loop")).alias("inner"),
             F.sum(F.col("k") * F.col("home_total")).alias("squares"),
-            F.bool_or("wishes").alias("wishes"),
-        ).first()
+            F.sum(F.col("active").cast("long")).alias("active"),
+            F.sum((F.col("community") != F.col("home")).cast("long")).alias("moved"),
+            F.sum(F.col("wishes").cast("long")).alias("wishes"),
+        )
+        result, summary = cut_lineage(moves, "nodes"), seen.get
         score = summary["inner"] / m2 - summary["squares"] / (m2 * m2)
-        if best is None:
-            best, best_score, start = homes, score, score
-        elif score > best_score + tolerance:
-            best, best_score, stalled = homes, score, 0
+        convergence.rounds.append((level, phase, turn, summary["active"], summary["moved"], score))
+        if best_score is None:
+            first_score = best_score = score
         else:
+            stalled = 0 if score > best_score + tolerance else stalled + 1
             if score > best_score:
-                best, best_score = homes, score
-            # The next draw may let others move.
-            stalled += 1
-        if stalled >= 3 or not summary["wishes"]:
+                best, best_score = state, score
+        if not summary["wishes"] or stalled >= 2:
             break
-        homes = result.select("id", "k", "loop", "community")
-    if best_score <= start:
-        return None, 0.0
-    return best.select("id", "community"), best_score - start
-
-
-# Best open community of every vertex; those that gain by it and may leave move.
-# Half of the communities, by hash of name and draw, are open: they may be joined but
-# not left.  A vertex may stay where it has no neighbour, so its home is always a
-# candidate.  Totals are few next to the candidates and a community may hold a large
-# part of the vertices, hence the salt on that join.
-ROUND = """
-    WITH candidates AS (
-        SELECT id, community, sum(links) AS links
-        FROM (SELECT src AS id, community, w AS links FROM {met}
-              UNION ALL SELECT id, community, 0D FROM {homes})
-        GROUP BY id, community),
-    totals AS (
-        SELECT community, total, explode(sequence(0, 15)) AS salt
-        FROM (SELECT community, sum(k) AS total FROM {homes} GROUP BY community)),
-    scored AS (
-        SELECT c.id, c.community, c.links, t.total, h.k, h.loop, h.community AS home,
-               c.community = h.community AS stays,
-               pmod(xxhash64(c.community, {draw}), 2) = 1 AS open,
-               c.links - h.k * (t.total - if(c.community = h.community, h.k, 0D)) / {m2} AS gain
-        FROM candidates c
-             JOIN totals t ON t.community = c.community AND t.salt = pmod(xxhash64(c.id), 16)
-             JOIN {homes} h ON h.id = c.id),
-    choices AS (
-        SELECT id, first(k) AS k, first(loop) AS loop, first(home) AS home,
-               max(if(stays, gain, NULL)) AS stay_gain, max(if(stays, NULL, gain)) AS best_gain,
-               max(if(stays, links, NULL)) AS home_links,
-               max(if(stays, total, NULL)) AS home_total,
-               bool_or(stays AND open) AS home_open,
-               min(if(open, struct(-gain AS loss, community), NULL)) AS pick
-        FROM scored GROUP BY id)
-    SELECT id, k, loop, home_links, home_total,
-           coalesce(best_gain > stay_gain + 1e-9, false) AS wishes,
-           if(coalesce(-pick.loss > stay_gain + 1e-9, false) AND NOT home_open,
-              pick.community, home) AS community
-    FROM choices"""
-
-
-def _one_round(
-    between: DataFrame, homes: DataFrame, spread: HotKeys, m2: float, draw: int
-) -> DataFrame:
-    met = spread.join(between, homes.select("id", "community"), ["src"], lookup_key="id")
-    return homes.sparkSession.sql(ROUND, met=met, homes=homes, m2=m2, draw=draw)
+        moved = result.filter(F.col("community") != F.col("home")).select(F.col("id").alias("dst"))
+        touched = between.join(moved, "dst", "left_semi").select(F.col("src").alias("id")).distinct()
+        again = result.join(touched.withColumn("touched", F.lit(True)), "id", "left")
+        state = again.select(
+            "id", "k", "loop", "community", "home_links",
+            (F.col("wishes") | (F.col("community") != F.col("home")) | F.coalesce("touched", F.lit(False))).alias("active"),
+        )
+    return best.select("id", "community"), best_score - first_score
+
+
+def _one_round(between: DataFrame, state: DataFrame, spread: HotKeys, m2: float, draw: int, single: bool) -> DataFrame:
+    """Best open community of every vertex of the frontier; those that gain by it and may leave move.
+
+    Half of the communities, by hash of name and draw, are open: they may be joined but not left.
+    Totals travel with the neighbours, so they meet the vertices once and the links never.
+    """
+    totals = state.groupBy("community").agg(F.sum("k").alias("total"))
+    named = state.join(totals, "community")
+    frontier = named.filter("active").select("id", "k", F.col("community").alias("home"), F.col("total").alias("home_total"))
+    near = named.select(F.col("id").alias("dst"), "community", "total")
+    met = spread.join(between.join(frontier.select(F.col("id").alias("src")), "src", "left_semi"), near, ["src"])
+    # A vertex may stay where it has no neighbour, so its home is always a candidate.
+    own = frontier.select(F.col("id").alias("src"), F.col("home").alias("community"), F.lit(0.0).alias("w"), F.col("home_total").alias("total"))
+    candidates = (
+        met.select("src", "community", "w", "total").unionByName(own)
+        .groupBy(F.col("src").alias("id"), "community").agg(F.sum("w").alias("links"), F.first("total").alias("total"))
+    )
+    scored = HotKeys("id", spread.values, spread.fanout).join(candidates, frontier, ["community"])
+    stays = F.col("community") == F.col("home")
+    own_part = F.when(stays, F.col("k")).otherwise(0.0)
+    scored = scored.withColumn("gain", F.col("links") - F.col("k") * (F.col("total") - own_part) / m2).withColumn(
+        "open", F.pmod(F.xxhash64("community", F.lit(draw)), F.lit(2)) == 1
+    )
+    alone = F.col("home_total") <= F.col("k") if single else F.lit(True)
+    choices = scored.groupBy("id").agg(
+        F.max(F.when(stays, F.col("gain"))).alias("stay_gain"),
+        F.max(F.when(~stays, F.col("gain"))).alias("best_gain"),
+        F.max(F.when(stays, F.col("links"))).alias("links"),
+        F.bool_or(stays & F.col("open")).alias("home_open"),
+        F.bool_and(alone).alias("free"),
+        F.min(F.when(F.col("open"), F.struct((-F.col("gain")).alias("loss"), "community"))).alias("pick"),
+    )
+    gains = F.col("free") & F.coalesce(F.col("best_gain") > F.col("stay_gain") + LEAST_GAIN, F.lit(False))
+    goes = F.col("free") & ~F.col("home_open") & F.coalesce(-F.col("pick.loss") > F.col("stay_gain") + LEAST_GAIN, F.lit(False))
+    decided = choices.select("id", "links", gains.alias("wishes"), F.when(goes, F.col("pick.community")).alias("target"))
+    return named.join(decided, "id", "left").select(
+        "id", "k", "loop", "active",
+        F.col("community").alias("home"), F.col("total").alias("home_total"),
+        F.coalesce("links", "home_links").alias("home_links"),
+        F.coalesce("wishes", F.lit(False)).alias("wishes"),
+        F.coalesce("target", "community").alias("community"),
+    )

@@ -114,3 +114,36 @@ def spearman(df: DataFrame, left: str, right: str, **limits) -> DataFrame:
     return moments.select(
         F.try_divide(F.col("xy") - F.col("x") * F.col("y") / F.col("n"), spread).alias("spearman")
     )
+
+
+def ranked_areas(df: DataFrame, score: str, label: str, **limits) -> DataFrame:
+    """Exact areas under the ROC and the precision-recall curve: `n_positive`, `n_negative`, `auc_roc`, `auc_pr`.
+
+    `label` is 1 or 0; rows without score or label are left out.  Equal scores are one point of the
+    curves, so their order does not matter.  Points are joined by straight lines; the precision-recall
+    curve starts at recall 0 with the precision of its first point.  Rank sums over the
+    distinct scores give both, without sorting in one task.  An area is null without rows of both labels.
+    """
+    positive = F.col(label) == 1
+    counts = cut_lineage(
+        df.filter(F.col(score).isNotNull() & F.col(label).isNotNull())
+        .groupBy(F.col(score).alias("score"))
+        .agg(F.count_if(positive).alias("positive"), F.count_if(~positive).alias("negative")),
+        "scores",
+    )
+    right = value_positions(counts, "score", "positive", **limits).toDF("value", "positive", "positive_below")
+    wrong = value_positions(counts, "score", "negative", **limits).toDF("value", "negative", "negative_below")
+    totals = counts.agg(F.coalesce(F.sum("positive"), F.lit(0)), F.coalesce(F.sum("negative"), F.lit(0))).first()
+    p, n = (F.lit(float(t)) for t in totals)
+    hits, alarms = p - F.col("positive_below"), n - F.col("negative_below")
+    hits_before, alarms_before = hits - F.col("positive"), alarms - F.col("negative")
+    precision = hits / (hits + alarms)
+    before = F.coalesce(F.try_divide(hits_before, hits_before + alarms_before), precision)
+    roc = F.sum(F.col("positive") * (F.col("negative_below") + F.col("negative") / 2))
+    pr = F.sum(F.col("positive") * (precision + before) / 2)
+    return right.join(wrong, "value").agg(roc.alias("roc"), pr.alias("pr")).select(
+        F.lit(totals[0]).cast("long").alias("n_positive"),
+        F.lit(totals[1]).cast("long").alias("n_negative"),
+        F.try_divide(F.col("roc"), p * n).alias("auc_roc"),
+        F.when(n > 0, F.try_divide(F.col("pr"), p)).alias("auc_pr"),
+    )

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from plaudit.functions.numbers import half_up
 from plaudit.operators import centrality, communities, embedding, graph as g
+from plaudit.operators.ranking import ranked_areas
 from plaudit.operators.similarity import audience_similarity
 from plaudit.plans import links, network as n
 from plaudit.plans.catalog.base import half_up_sql, query
@@ -418,6 +419,43 @@ def _(w):
     return n.community_geo(w.graph, w.communities)
 
 
+# Any partition will do to check the report; this one is the last digit of the user id.
+def _geo(states: str) -> str:
+    return f"""WITH visits AS (SELECT CAST(right(r.user_id, 1) AS BIGINT) AS community, r.user_id, s.state
+                               FROM reviews r JOIN {states} s ON s.business_id = r.business_id),
+        counted AS (SELECT community, state, count(*) AS n FROM visits GROUP BY 1, 2),
+        top AS (SELECT *, row_number() OVER (PARTITION BY community ORDER BY n DESC, state) AS place,
+                       sum(n) OVER (PARTITION BY community) AS total FROM counted),
+        heads AS (SELECT community, count(DISTINCT user_id) AS n_members FROM visits GROUP BY 1)
+        SELECT t.community AS "CommunityID", CAST(t.total AS BIGINT) AS n_reviews, h.n_members, t.state AS "TopState",
+               {half_up_sql('t.n / t.total', 3)} AS "GeoConcentration"
+        FROM top t JOIN heads h ON h.community = t.community WHERE t.place = 1 AND t.total >= 25
+        ORDER BY "GeoConcentration" DESC, "CommunityID" LIMIT 15"""
+
+
+def _by_last_digit(w):
+    return w.graph.user.select("user_id", F.right("user_id", F.lit(1)).cast("long").alias("community"))
+
+
+@query(
+    "community_geo_of_partition",
+    _geo("(SELECT b.business_id, p.state FROM businesses b JOIN part_of p ON p.city = b.city)"),
+)
+def _(w):
+    return n.community_geo(w.graph, _by_last_digit(w))
+
+
+@query("community_geo_own_state", _geo("(SELECT business_id, state FROM businesses)"))
+def _(w):
+    return n.community_geo(w.graph, _by_last_digit(w), own_state=w.businesses)
+
+
+@query("community_convergence")
+def _(w):
+    """What every round of community detection scored, moved and reached."""
+    return w.community_rounds
+
+
 @query(
     "market_saturation",
     "WITH cities AS (SELECT city FROM businesses GROUP BY 1 HAVING count(*) >= 20 "
@@ -462,6 +500,24 @@ def _(w):
     return n.bridge_users(w.graph)
 
 
+@query(
+    "hub_group_stats_per_user",
+    f"""WITH hubs AS (SELECT user_id FROM degrees ORDER BY degree DESC, user_id LIMIT 20)
+       SELECT 'hub' AS side, 20::BIGINT AS n_users,
+              (SELECT {half_up_sql('avg(u.review_count)', 1)} FROM hubs h JOIN users u ON u.user_id = h.user_id
+               WHERE h.user_id IN (SELECT user_id FROM reviews)) AS "MeanReviews",
+              round(count(DISTINCT b.city) / 20, 1) AS "DistinctCities",
+              round(count(DISTINCT c.category) / 20, 1) AS "DistinctCategories"
+       FROM hubs h JOIN reviews r ON r.user_id = h.user_id
+            JOIN businesses b ON b.business_id = r.business_id
+            LEFT JOIN in_category c ON c.business_id = r.business_id""",
+)
+def _(w):
+    degrees = centrality.friend_degree(w.graph.user, w.graph.friends_with)
+    hubs = n.top_k(degrees, "degree", ["user_id"], 20).select("user_id", F.lit("hub").alias("side"))
+    return n.group_stats(w.graph, hubs, mean_on="users")
+
+
 @query(
     "hub_group_stats",
     """WITH hubs AS (SELECT user_id FROM degrees ORDER BY degree DESC, user_id LIMIT 20)
@@ -490,6 +546,42 @@ def _(w):
     return links.split_moment(w.graph.reviewed)
 
 
+@query(
+    "ranked_areas",
+    """WITH c AS (SELECT useful AS score, count(*) FILTER (WHERE stars >= 4) AS p, count(*) FILTER (WHERE stars < 4) AS n
+                  FROM reviews GROUP BY 1),
+       t AS (SELECT *, sum(p) OVER () AS total_p, sum(n) OVER () AS total_n,
+                    sum(p) OVER (ORDER BY score DESC) AS tp, sum(n) OVER (ORDER BY score DESC) AS fp FROM c),
+       x AS (SELECT *, tp / (tp + fp) AS here,
+                    CASE WHEN tp - p + fp - n > 0 THEN (tp - p) / (tp - p + fp - n) ELSE tp / (tp + fp) END AS before FROM t)
+       SELECT CAST(max(total_p) AS BIGINT) AS n_positive, CAST(max(total_n) AS BIGINT) AS n_negative,
+              round(sum(p * (total_n - fp + n / 2)) / (max(total_p) * max(total_n)), 9) AS auc_roc,
+              round(sum(p * (here + before) / 2) / max(total_p), 9) AS auc_pr FROM x""",
+)
+def _(w):
+    scored = w.reviews.select("useful", (F.col("stars") >= 4).cast("int").alias("liked"))
+    found = ranked_areas(scored, "useful", "liked", range_values=3)
+    return found.withColumns({c: F.round(c, 9) for c in ("auc_roc", "auc_pr")})
+
+
+@query(
+    "audience_recommendations",
+    "WITH " + SIMILAR.format(group="'all'", where="") + """,
+    people AS (SELECT user_id FROM users WHERE review_count > 30 AND review_count < 200),
+    theirs AS (SELECT DISTINCT user_id, business_id FROM reviews WHERE user_id IN (SELECT user_id FROM people)),
+    ways AS (SELECT t.user_id, x.other AS business_id, round(sum(x.similarity), 9) AS score, count(*) AS n_paths
+             FROM theirs t JOIN nearest x ON x.item = t.business_id AND x.place <= 10
+                  JOIN businesses b ON b.business_id = x.other AND b.review_count > 20
+             WHERE NOT EXISTS (SELECT 1 FROM theirs o WHERE o.user_id = t.user_id AND o.business_id = x.other)
+             GROUP BY 1, 2)
+    SELECT user_id, business_id, score, n_paths, CAST(place AS INTEGER) AS place FROM (
+      SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY score DESC, business_id) AS place FROM ways)
+    WHERE place <= 3""",
+)
+def _(w):
+    return links.audience_recommendations(w.graph, low=30, high=200, min_reviews=20).select(*links.PAIR, "score", "n_paths", "place")
+
+
 @query("link_prediction_metrics")
 def _(w):
     return w.link_model.metrics()

@@ -8,7 +8,7 @@ from plaudit.operators import cleaning, quality
 from plaudit.operators.graph import Graph
 from plaudit.plans.catalog.base import query
 from plaudit.session import new_path
-from plaudit.sources import documents, files, schemas
+from plaudit.sources import documents, files, schemas, upserts
 
 # -- scans and sinks -----------------------------------------------------------------
 
@@ -138,6 +138,35 @@ def _(w):
     return filled.drop("city")
 
 
+@query("keyed_merge_in_place", "SELECT business_id, name, coalesce(t.n, 0) AS tip_count FROM businesses "
+       "LEFT JOIN (SELECT business_id, count(*) AS n FROM tips GROUP BY 1) t USING (business_id)")
+def _(w):
+    """The counts written into a stored table, bucket by bucket."""
+    table = upserts.KeyedTable(new_path(w.spark, "keyed"), "business_id", 16)
+    table.write(w.businesses.select("business_id", "name").withColumn("tip_count", F.lit(0).cast("long")))
+    stray = w.spark.range(3).select(
+        F.concat(F.lit("unknown"), "id").alias("business_id"), F.lit(9).cast("long").alias("tip_count")
+    )
+    counts = w.tips.groupBy("business_id").agg(F.count(F.lit(1)).alias("tip_count"))
+    table.merge(counts.unionByName(stray))
+    return table.read(w.spark).select("business_id", "name", "tip_count")
+
+
+@query(
+    "conditional_update_in_place",
+    """SELECT business_id, city, CASE WHEN city = 'NATION_1' AND stars < 3 THEN 0.0 ELSE stars END AS stars,
+              CASE WHEN city = 'NATION_1' AND stars < 3 THEN upper(name) ELSE name END AS name FROM businesses""",
+)
+def _(w):
+    """Only the files that hold the city are rewritten."""
+    path = new_path(w.spark, "updated")
+    w.businesses.select("business_id", "city", "stars", "name").repartitionByRange(8, "city").write.parquet(path)
+    upserts.update_in_place(
+        w.spark, path, (F.col("city") == "NATION_1") & (F.col("stars") < 3), {"stars": F.lit(0.0), "name": F.upper("name")}
+    )
+    return w.spark.read.parquet(path)
+
+
 _sizes = """
     SELECT 'user' AS name, (SELECT count(*) FROM users) AS n_rows
     UNION ALL SELECT 'business', (SELECT count(*) FROM businesses)

@@ -5,15 +5,15 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Row, functions as F
 
 from plaudit.functions.numbers import half_up
 from plaudit.operators.embedding import fast_rp, hadamard
 from plaudit.operators.graph import Graph, project, with_epoch
-from plaudit.operators.ranking import percentiles
+from plaudit.operators.ranking import percentiles, ranked_areas
 from plaudit.operators.sampling import dense_index, sample_rows
+from plaudit.operators.similarity import audience_similarity
 from plaudit.operators.skew import HotKeys
 from plaudit.operators.topk import top_per_group
 from plaudit.session import cut_lineage
@@ -148,14 +148,53 @@ def train_links(
         seed,
     )
     test = labelled(late, unseen)
-    judge = BinaryClassificationEvaluator(rawPredictionCol="rawPrediction")
-    return LinkModel(
-        forest,
-        vectors,
-        moment,
-        judge.setMetricName("areaUnderPR").evaluate(forest.transform(train)),
-        judge.setMetricName("areaUnderROC").evaluate(forest.transform(test)),
+    def areas(pairs: DataFrame) -> Row:
+        scored = forest.transform(pairs).select("label", vector_to_array("probability")[1].alias("score"))
+        return ranked_areas(scored, "score", "label").first()
+
+    return LinkModel(forest, vectors, moment, areas(train)["auc_pr"], areas(test)["auc_roc"])
+
+
+def audience_candidates(graph: Graph, people: DataFrame, nearest: int = 10, min_reviews: int = 100) -> DataFrame:
+    """Businesses close to what a user has reviewed: `user_id`, `business_id`, `score`, `n_paths`.
+
+    Every business leads to its `nearest` others by audience; `score` adds up the similarities of all
+    ways from a user's businesses to one they have not reviewed and that has over
+    `min_reviews` reviews.  The rows are the users' reviews times `nearest`, never users times businesses.
+    """
+    visits = graph.reviewed.select(F.lit("all").alias("group"), F.col("business_id").alias("item"), F.col("user_id").alias("member"))
+    pairs = audience_similarity(visits, nearest).select("item", "other", "similarity")
+    pairs = cut_lineage(
+        pairs.join(graph.business.filter(F.col("review_count") > min_reviews).select(F.col("business_id").alias("other")), "other", "left_semi"),
+        "nearest",
+    )
+    theirs = cut_lineage(
+        graph.reviewed.join(people.select("user_id"), "user_id", "left_semi").select("user_id", F.col("business_id").alias("item")).distinct(),
+        "theirs",
     )
+    # At most `nearest` rows per business on one side; a business that everybody reviewed is split.
+    ways = HotKeys.find(theirs, "item").join(theirs, pairs, ["user_id"])
+    found = ways.groupBy("user_id", F.col("other").alias("business_id")).agg(
+        F.sum("similarity").alias("score"), F.count(F.lit(1)).alias("n_paths")
+    )
+    return found.join(theirs.withColumnRenamed("item", "business_id"), PAIR, "left_anti")
+
+
+def audience_recommendations(
+    graph: Graph, low: int = 50, high: int = 200, min_reviews: int = 100, nearest: int = 10, k: int = 3, model: LinkModel | None = None
+) -> DataFrame:
+    """For every user with more than `low` and fewer than `high` reviews the k best candidates.
+
+    Ordered by their score, or by the probability a link model gives them.
+    """
+    people = graph.user.filter((F.col("review_count") > low) & (F.col("review_count") < high))
+    found = audience_candidates(graph, people, nearest, min_reviews)
+    by = "score"
+    if model is not None:
+        found, by = model.score(found).select(*PAIR, "score", "n_paths", "probability"), "probability"
+    # Sums of the same similarities in another order must not decide a place.
+    ranked = found.withColumn(by, F.round(by, 9))
+    return top_per_group(ranked, ["user_id"], by, ["business_id"], k)
 
 
 def recommendations(

@@ -230,14 +230,20 @@ def community_geo(
     min_size: int = 25,
     size_on: str = "n_reviews",
     k: int = 15,
+    own_state: DataFrame | None = None,
     **hot_limits,
 ) -> DataFrame:
     """Main state and geographic concentration of communities.
 
     `n_reviews` counts review-to-state paths, `n_members` the users behind them;
-    `size_on` names the one that must reach `min_size`.
+    `size_on` names the one that must reach `min_size`.  A city name shared by several
+    states counts in each of them; `own_state` (`business_id`, `state`) uses the
+    business's own state instead.
     """
-    states = graph.located_in.join(graph.part_of, "city").select("business_id", "state")
+    if own_state is None:
+        states = graph.located_in.join(graph.part_of, "city").select("business_id", "state")
+    else:
+        states = own_state.select("business_id", "state").na.drop().distinct()
     # A user leaves this step as one row with a short list, one entry per state.
     per_user = (
         hot_key_join(graph.reviewed, states, "business_id", ["review_id"], **hot_limits)
@@ -341,16 +347,17 @@ def market_saturation(
 # -- G4: bridges between clusters ----------------------------------------------------
 
 
-def group_stats(graph: Graph, members: DataFrame, group: str = "side", **hot_limits) -> DataFrame:
-    """Mean reviews and cities and categories per head of small groups of users.
+def group_stats(graph: Graph, members: DataFrame, group: str = "side", mean_on: str = "rows", **hot_limits) -> DataFrame:
+    """Mean reviews and cities and categories per head of groups of users.
 
-    `members` holds `user_id` and the group name, a few dozen rows.  The mean runs
-    over review-and-category rows; cities and categories are counted once per group
-    and divided by its size.
+    `members` holds `user_id` and the group name.  The mean runs over review-and-category
+    rows, or once over every user that has a review with `mean_on="users"`; cities and
+    categories are counted once per group and divided by its size.
     """
-    members = cut_lineage(members, "members")
-    few = F.broadcast(members)
-    sizes = F.broadcast(members.groupBy(group).agg(F.count(F.lit(1)).alias("n_users")))
+    if mean_on not in ("rows", "users"):
+        raise ValueError(mean_on)
+    few = cut_lineage(members, "members")
+    sizes = few.groupBy(group).agg(F.count(F.lit(1)).alias("n_users"))
     visits = graph.reviewed.join(few, "user_id").select(group, "user_id", "business_id", "review_id")
     placed = hot_key_join(visits, graph.located_in, "business_id", ["review_id"], "left", **hot_limits)
     # Users meet a business again and again; the fan-out needs each meeting once.
@@ -361,10 +368,15 @@ def group_stats(graph: Graph, members: DataFrame, group: str = "side", **hot_lim
         ),
         "user_id",
     )
+    mean = ratio(F.sum(F.col("n") * F.col("review_count")), F.sum("n")).alias("mean_reviews")
+    if mean_on == "users":
+        known = rows.select(group, "user_id", "review_count").distinct()
+        per_user = known.groupBy(group).agg(F.avg("review_count").alias("user_mean"))
+        rows, mean = rows.join(per_user, group), F.first("user_mean").alias("mean_reviews")
     return (
         rows.groupBy(group)
         .agg(
-            ratio(F.sum(F.col("n") * F.col("review_count")), F.sum("n")).alias("mean_reviews"),
+            mean,
             F.count_distinct("city").alias("cities"),
             F.count_distinct("category").alias("categories"),
         )

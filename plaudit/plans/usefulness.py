@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from plaudit.functions.numbers import ratio, right_closed_bin
 from plaudit.functions.texts import review_length
 from plaudit.functions.times import days_between
+from plaudit.operators.attribution import forest_nodes, mean_contributions, path_contributions
 from plaudit.operators.centrality import business_pagerank, friend_degree
 from plaudit.operators.graph import Graph
 from plaudit.operators.sampling import dense_index, sample_rows, stratified_split
@@ -196,3 +197,15 @@ def permutation_importance(
     return df.sparkSession.createDataFrame(
         table, "feature string, importance double, rmse_increase double"
     ).orderBy(F.desc("importance"), "feature")
+
+
+def contributions(model: GBTRegressionModel, df: DataFrame) -> DataFrame:
+    """Per review the bias, what each feature adds to it, and the prediction before negative ones are raised."""
+    return path_contributions(df, forest_nodes(df.sparkSession, model), "review_id", FEATURES)
+
+
+def feature_attribution(model: GBTRegressionModel, df: DataFrame, sample: int | None = None, seed: int = 42) -> DataFrame:
+    """`permutation_importance` beside the mean additive contribution of every feature over all rows."""
+    paths = mean_contributions(contributions(model, df), FEATURES)
+    found = permutation_importance(model, df, sample, seed).join(paths, "feature")
+    return found.orderBy(F.desc("importance"), "feature")

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from plaudit.functions.texts import code_points
 from plaudit.operators import graph as g
 from plaudit.operators.cleaning import add_tip_counts, checkin_stats, clean_businesses, clean_users
+from plaudit.operators.communities import Convergence
 from plaudit.plans.links import LinkModel, train_links
 from plaudit.plans.network import friend_communities
 from plaudit.plans.usefulness import split_features, train_usefulness, usefulness_features
@@ -201,7 +202,17 @@ class Workspace:
     @cached_property
     def communities(self) -> DataFrame:
         """Community of every user, stored like a vertex property."""
-        return cut_lineage(friend_communities(self.graph), "communities")
+        return self._detected[0]
+
+    @property
+    def community_rounds(self) -> DataFrame:
+        """The rounds that led to `communities`."""
+        return self._detected[1].table(self.spark)
+
+    @cached_property
+    def _detected(self) -> tuple[DataFrame, Convergence]:
+        rounds = Convergence()
+        return cut_lineage(friend_communities(self.graph, convergence=rounds), "communities"), rounds
 
     @cached_property
     def usefulness_features(self) -> DataFrame:

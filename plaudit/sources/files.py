@@ -23,11 +23,15 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> N
     df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
 
 
+def file_system(spark: SparkSession, path: str):
+    """The Hadoop file system and path object of a path."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
+
+
 def list_files(spark: SparkSession, folder: str, suffix: str) -> list[str]:
     """Files directly inside a folder of any Hadoop file system."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(folder)
-    system = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    system, path = file_system(spark, folder)
     found = [status.getPath() for status in system.listStatus(path) if status.isFile()]
     return sorted(str(item) for item in found if item.getName().endswith(suffix))
 

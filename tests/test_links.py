@@ -53,3 +53,16 @@ def test_model_finds_the_circles(spark, circles):
     assert not known & {(r.user_id, r.business_id) for r in found}
     same = sum(int(r.user_id[1:]) % 2 == int(r.business_id[1:]) % 2 for r in found)
     assert same >= 10
+
+
+def test_audience_recommendations_reach_every_user_without_a_product(spark, circles):
+    found = links.audience_recommendations(circles, nearest=10, k=3)
+    plan = found._jdf.queryExecution().toString()
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+    rows = found.collect()
+    known = {(r.user_id, r.business_id) for r in circles.reviewed.collect()}
+    assert rows and not known & {(r.user_id, r.business_id) for r in rows}
+    assert all(int(r.user_id[1:]) % 2 == int(r.business_id[1:]) % 2 for r in rows)
+    # Whoever has not been everywhere in their circle gets something.
+    open_users = {u for u in {u for u, _ in known} if sum(a == u for a, _ in known) < 20}
+    assert {r.user_id for r in rows} == open_users

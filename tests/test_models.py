@@ -6,6 +6,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from plaudit.operators.attribution import forest_nodes, path_contributions
+from plaudit.operators.ranking import ranked_areas
 from plaudit.plans import usefulness as u
 
 
@@ -52,7 +54,34 @@ def test_model_learns_and_attributes_to_the_driving_feature(spark):
     scored = u.predict(model, split.filter("NOT is_train"))
     assert scored.filter("prediction < 0").isEmpty()
     assert u.regression_metrics(scored, "useful", "prediction").first().r2 > 0.9
-    table = {r.feature: r for r in u.permutation_importance(model, data, 200).collect()}
+    paths = u.contributions(model, split).join(model.transform(u._assembled(split)).select("review_id", F.col("prediction").alias("p")), "review_id")
+    assert paths.filter(F.abs(F.col("p") - F.col("prediction")) > 1e-9).isEmpty() and paths.count() == 600
+    assert forest_nodes(spark, model).filter("node = 0").count() == 3
+    table = {r.feature: r for r in u.feature_attribution(model, data, 200).collect()}
+    assert max(table, key=lambda name: table[name].mean_size) == "review_length"
     assert set(table) == set(u.FEATURES)
     assert table["review_length"].rmse_increase > 1
     assert max(abs(r.rmse_increase) for n, r in table.items() if n != "review_length") < 0.5
+
+
+def test_a_tree_of_one_leaf_has_bias_only(spark):
+    nodes = spark.createDataFrame([(0, 2.0, 0, None, None, None, None, 1.5)], "tree int, weight double, node int, feature int, threshold double, left int, right int, value double")
+    rows = spark.createDataFrame([("a", 1.0), ("b", 2.0)], "k string, x double")
+    assert {(r.k, r.bias, r.x, r.prediction) for r in path_contributions(rows, nodes, "k", ["x"]).collect()} == {("a", 3.0, 0.0, 3.0), ("b", 3.0, 0.0, 3.0)}
+    assert path_contributions(rows.limit(0), nodes, "k", ["x"]).isEmpty()
+
+
+def test_areas_match_pairs_and_curve(spark):
+    rng = np.random.default_rng(2)
+    label, score = rng.integers(0, 2, 300), rng.integers(0, 25, 300)
+    df = spark.createDataFrame([(int(a), int(b)) for a, b in zip(label, score)] + [(1, None), (None, 3)], "label int, score int")
+    found = ranked_areas(df, "score", "label", range_values=4).first()
+    up, down = score[label == 1][:, None], score[label == 0][None]
+    assert found.auc_roc == pytest.approx(((up > down) + 0.5 * (up == down)).mean())
+    points = [((label[score >= s] == 1).sum() / label.sum(), label[score >= s].mean()) for s in sorted(set(score), reverse=True)]
+    recall, precision = zip((0.0, points[0][1]), *points)
+    assert found.auc_pr == pytest.approx(np.trapezoid(precision, recall))
+    assert (found.n_positive, found.n_negative) == (label.sum(), 300 - label.sum())
+    alone = ranked_areas(df.filter("label = 1"), "score", "label").first()
+    assert alone.auc_roc is None and alone.n_negative == 0
+    assert ranked_areas(df.limit(0), "score", "label").first().auc_pr is None
