@@ -23,6 +23,8 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from plaudit.llm.words import releasing
+
 # Fixed value: the pattern of the vocabulary's pre-tokenizer.
 WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 # White space before a space, or a space at the end.
@@ -273,7 +275,7 @@ def _each(df: DataFrame, column: str, types: list[tuple[str, pa.DataType, object
                     names=[*kept, *[name for name, _, _ in types]],
                 )
 
-    return source.mapInArrow(run, schema)
+    return source.mapInArrow(releasing(run), schema)
 
 
 def encode(df: DataFrame, path: str, text_column: str = "text", ids_column: str = "ids", decoded_column: str | None = None) -> DataFrame:

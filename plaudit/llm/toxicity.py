@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from plaudit.llm.words import mix, powers
+from plaudit.llm.words import mix, powers, releasing
 from plaudit.operators.sampling import sample_rows
 from plaudit.session import cut_lineage
 
@@ -108,7 +108,7 @@ def _counts(rows: DataFrame, orders: tuple[int, ...]) -> DataFrame:
         slots = np.flatnonzero(counts.sum(axis=0))
         yield pa.RecordBatch.from_arrays([pa.array(slots), pa.array(counts[0, slots]), pa.array(counts[1, slots])], ["slot", "others", "toxic"])
 
-    partial = rows.select("text", "label").mapInArrow(run, "slot bigint, others bigint, toxic bigint")
+    partial = rows.select("text", "label").mapInArrow(releasing(run), "slot bigint, others bigint, toxic bigint")
     return partial.groupBy("slot").agg(F.sum("others").alias("others"), F.sum("toxic").alias("toxic"))
 
 
@@ -125,7 +125,7 @@ def _features(rows: DataFrame, orders: tuple[int, ...], slots: np.ndarray) -> Da
                     lists[first + i] = slot[cuts[i] : cuts[i + 1]]
             yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(lists, pa.list_(pa.int64()))], ["label", "slots"])
 
-    return rows.select("text", "label").mapInArrow(run, "label int, slots array<bigint>")
+    return rows.select("text", "label").mapInArrow(releasing(run), "label int, slots array<bigint>")
 
 
 def _logistic(rows: list, slots: np.ndarray, ratios: np.ndarray, how: Training) -> tuple[np.ndarray, float]:
@@ -212,7 +212,7 @@ def score(docs: DataFrame, model: ToxicityModel, text_column: str = "text", name
             scores = 1 / (1 + np.exp(-np.clip(margin, -60, 60)))
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(scores)], names=[*kept, name])
 
-    return source.mapInArrow(run, schema)
+    return source.mapInArrow(releasing(run), schema)
 
 
 def train_on_labels(docs: DataFrame, labels: DataFrame, how: Training = Training()) -> ToxicityModel:
