@@ -336,3 +336,32 @@ def test_negatives_are_unlinked_and_not_a_product(spark):
     for df in (negatives, drawn):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert "Cartesian" not in plan and "NestedLoop" not in plan
+
+
+def test_louvain_shrinks_its_frontier_and_keeps_communities_connected(spark):
+    # A hub that knows everybody, next to rings of cliques.
+    cliques = [[f"v{c}_{i}" for i in range(4)] for c in range(6)]
+    pairs = [p for c in cliques for p in itertools.combinations(c, 2)] + [(c[0], d[1]) for c, d in zip(cliques, cliques[1:])]
+    pairs += [("hub", v) for c in cliques for v in c]
+    vertices = spark.createDataFrame([(v,) for v in {x for p in pairs for x in p}], "id string")
+    rounds = communities.Convergence()
+    found = communities.louvain(vertices, undirected(spark, pairs), convergence=rounds, **HOT)
+    group = dict(rows(found))
+    assert all(len({group[v] for v in c}) == 1 for c in cliques)
+    scored = [r.active for r in rounds.table(spark).collect() if r.phase == "rise" and r.level == 0]
+    assert scored[0] == 25 and min(scored) < 25
+    best = max(r.modularity for r in rounds.table(spark).collect())
+    assert communities.modularity(undirected(spark, pairs), found) >= best - 1e-9
+    near = defaultdict(set)
+    for a, b in pairs:
+        near[a].add(b)
+        near[b].add(a)
+    for name in set(group.values()):
+        members = {v for v in group if group[v] == name}
+        reached, open_ = set(), [min(members)]
+        while open_:
+            v = open_.pop()
+            if v not in reached:
+                reached.add(v)
+                open_ += near[v] & members
+        assert reached == members
