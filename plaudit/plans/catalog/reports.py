@@ -91,9 +91,14 @@ def bins_sql(value: str, edges, labels) -> tuple[str, str]:
     return f"CASE {cases} ELSE {len(labels) - 1} END", f"CASE bin {names} END"
 
 
+def spans(edges) -> tuple[str, ...]:
+    """Labels of whole-number bins that hold their lower edge, and of what lies beyond them."""
+    return (*[f"{low}-{high - 1}" if high - low > 1 else str(low) for low, high in zip(edges, edges[1:])], f"{edges[-1]}+")
+
+
 # Review counts of the test tables lie between 5 and 60.
 VOLUME = (0, 20, 25, 30, 35, 45)
-_bin, _label = bins_sql("review_count", VOLUME, r.VOLUME_LABELS)
+_bin, _label = bins_sql("review_count", VOLUME, spans(VOLUME))
 
 
 @query(
@@ -104,7 +109,7 @@ _bin, _label = bins_sql("review_count", VOLUME, r.VOLUME_LABELS)
               FROM businesses GROUP BY 1)""",
 )
 def _(w):
-    return r.volume_vs_rating(w.businesses, VOLUME)
+    return r.volume_vs_rating(w.businesses, VOLUME, spans(VOLUME))
 
 
 _shares = ", ".join(
@@ -127,7 +132,8 @@ def _(w):
     return report.select("*", "star_distribution_pct.*").drop("star_distribution_pct")
 
 
-_bin, _label = bins_sql("tenure", (0, 6, 8, 9, 10), r.TENURE_LABELS)
+TENURE = (0, 6, 8, 9, 10)
+_bin, _label = bins_sql("tenure", TENURE, spans(TENURE))
 
 
 @query(
@@ -140,7 +146,7 @@ _bin, _label = bins_sql("tenure", (0, 6, 8, 9, 10), r.TENURE_LABELS)
               GROUP BY 1)""",
 )
 def _(w):
-    return r.tenure_behavior(w.users, 2001, (0, 6, 8, 9, 10))
+    return r.tenure_behavior(w.users, 2001, TENURE, spans(TENURE))
 
 
 @query(
@@ -156,7 +162,7 @@ def _(w):
 
 
 VISITS = (1, 10, 15, 20, 25, 30)
-_bin, _label = bins_sql("checkin_count", VISITS, r.VISIT_LABELS)
+_bin, _label = bins_sql("checkin_count", VISITS, spans(VISITS))
 
 
 @query(
@@ -166,7 +172,7 @@ _bin, _label = bins_sql("checkin_count", VISITS, r.VISIT_LABELS)
               WHERE checkin_count > 0 GROUP BY 1)""",
 )
 def _(w):
-    return r.checkin_vs_rating(w.businesses, VISITS)
+    return r.checkin_vs_rating(w.businesses, VISITS, spans(VISITS))
 
 
 @query(

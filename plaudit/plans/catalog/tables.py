@@ -49,31 +49,20 @@ def _(w):
 
 @query(
     "head_of_every_file",
-    """SELECT 'part' AS folder, count(*) AS n_lines, true AS heads_complete FROM part
-       UNION ALL SELECT 'customer', count(*), true FROM customer
-       UNION ALL SELECT 'nation', count(*), true FROM nation""",
+    """(SELECT 'part' AS folder, p_partkey AS key, p_name AS name FROM part ORDER BY p_partkey LIMIT 300)
+       UNION ALL (SELECT 'customer', c_custkey, c_name FROM customer ORDER BY c_custkey LIMIT 300)
+       UNION ALL (SELECT 'nation', n_nationkey, n_name FROM nation ORDER BY n_nationkey LIMIT 300)""",
 )
 def _(w):
-    # Whole tables as JSON folders; every file must give its first lines, at most 300.
-    checks = []
-    for name in ("part", "customer", "nation"):
+    # Whole tables as JSON files in the order of their keys; the head of each must be its first lines.
+    taken = []
+    for name, prefix in (("part", "p_part"), ("customer", "c_cust"), ("nation", "n_nation")):
         source, target = new_path(w.spark, name), new_path(w.spark, "head")
-        w.source(name).write.json(source)
-        heads = files.extract_heads(w.spark, source, target, 300)
-        file = F.element_at(F.split("_metadata.file_path", "/"), -1)
-        lines = w.spark.read.text(source).groupBy(file.alias("file")).agg(F.count(F.lit(1)).alias("n"))
-        taken = w.spark.read.text(heads).groupBy(
-            F.regexp_replace(
-                F.element_at(F.split("_metadata.file_path", "/"), -2), "_head.json$", ""
-            ).alias("file")
-        ).agg(F.count(F.lit(1)).alias("head"))
-        complete = F.coalesce(F.col("head"), F.lit(0)) == F.least(F.col("n"), F.lit(300))
-        checks.append(
-            lines.join(taken, "file", "left")
-            .agg(F.sum("n").alias("n_lines"), F.bool_and(complete).alias("heads_complete"))
-            .select(F.lit(name).alias("folder"), "n_lines", "heads_complete")
-        )
-    return reduce(DataFrame.unionByName, checks)
+        w.source(name).orderBy(f"{prefix}key").coalesce(1).write.json(source)
+        lines = w.spark.read.text(files.extract_heads(w.spark, source, target, 300))
+        row = F.from_json("value", f"{prefix}key long, {prefix[:2]}name string")
+        taken.append(lines.select(F.lit(name).alias("folder"), row.alias("r")).select("folder", F.col(f"r.{prefix}key").alias("key"), F.col(f"r.{prefix[:2]}name").alias("name")))
+    return reduce(DataFrame.unionByName, taken)
 
 
 @query(

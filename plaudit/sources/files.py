@@ -36,16 +36,29 @@ def list_files(spark: SparkSession, folder: str, suffix: str) -> list[str]:
     return sorted(str(item) for item in found if item.getName().endswith(suffix))
 
 
-def extract_heads(spark: SparkSession, source: str, target: str, lines: int = 5000) -> list[str]:
-    """Copy the first lines of every JSON file of a folder to `<target>/<file>_head.json`.
+def head_of_file(spark: SparkSession, path: str, lines: int) -> DataFrame:
+    """`value`: the first lines of a text file, in order.
 
-    `limit` reads the leading splits of a file only.
+    Blocks are read one after the other until there are enough lines, usually the leading one only.  Should they
+    not come back as the leading block, the whole file is put in order by block and by place within it.
     """
+    text = spark.read.text(path).select(
+        "value", F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at")
+    )
+    # A fixed number of lines.
+    first = text.take(lines)
+    if len(first) == lines and all(row["block"] == 0 for row in first):
+        return spark.createDataFrame([(row["value"],) for row in first], "value string").coalesce(1)
+    return text.orderBy("block", "at").limit(lines).orderBy("block", "at").select("value").coalesce(1)
+
+
+def extract_heads(spark: SparkSession, source: str, target: str, lines: int = 5000) -> list[str]:
+    """Copy the first lines of every JSON file of a folder to `<target>/<file>_head.json`."""
     written = []
     for path in list_files(spark, source, ".json"):
         name = path.rsplit("/", 1)[-1]
         out = f"{target}/{name}_head.json"
-        spark.read.text(path).limit(lines).coalesce(1).write.mode("overwrite").text(out)
+        head_of_file(spark, path, lines).write.mode("overwrite").text(out)
         written.append(out)
     return written
 

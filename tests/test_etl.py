@@ -102,6 +102,21 @@ def test_heads(spark, raw, tmp_path):
     assert [json.loads(x)["review_id"] for x in lines] == ["r1", "r2"]
 
 
+@pytest.mark.parametrize("lines", [10, 700, 5000])
+def test_heads_of_a_file_in_many_blocks_are_its_first_lines(spark, tmp_path, lines):
+    texts = [f"{i:05} " + "x" * (i % 50) for i in range(2000)]
+    (tmp_path / "in.json").write_text("\n".join(texts) + "\n")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        found = files.head_of_file(spark, str(tmp_path / "in.json"), lines)
+        assert [r.value for r in found.collect()] == texts[:lines]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
 def test_document_load(spark):
     df = spark.createDataFrame(
         [("u1", float("nan"), " a ,b,, "), ("u1", float("nan"), " a ,b,, "), ("u2", 2.0, "None"), ("u3", None, None)],
