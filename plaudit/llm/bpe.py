@@ -23,7 +23,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from plaudit.llm.words import releasing
+from plaudit.llm.words import free_name, releasing
 
 # Fixed value: the pattern of the vocabulary's pre-tokenizer.
 WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
@@ -257,8 +257,9 @@ def _each(df: DataFrame, column: str, types: list[tuple[str, pa.DataType, object
     """
     file = _with_vocabulary(df, path)
     kept = [c for c in df.columns if c not in {name for name, _, _ in types}]
-    source = df.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{column}`").alias("__given"))
-    schema = source.drop("__given").schema
+    letters = free_name(kept, "given")
+    source = df.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{column}`").alias(letters))
+    schema = source.drop(letters).schema
     for name, _, kind in types:
         schema = schema.add(name, kind)
 

@@ -15,6 +15,8 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from plaudit.llm.words import free_name
+
 ROUNDS = 8
 # Candidates in the order in which they are tried at a position.
 # Repeated groups are possessive: the engine follows them in a loop, not by recursion, at any length.
@@ -268,7 +270,7 @@ def pseudonymise(docs: DataFrame, key: str, text_column: str = "text", count_col
     text = F.col(f"`{text_column}`")
     none = F.array().cast("array<string>")
     found = F.when(text.rlike("[0-9@]"), F.regexp_extract_all(text, F.lit(CANDIDATE), F.lit(0))).otherwise(none)
-    old, new = (_free(docs, name) for name in ("found", "new"))
+    old, new = (free_name([*docs.columns, count_column or ""], name) for name in ("found", "new"))
     searched = docs.withColumn(old, found)
     searched = searched.withColumn(new, F.transform(old, lambda value: pseudonym(value, key)))
     between = F.split(text, CANDIDATE, -1)
@@ -279,10 +281,3 @@ def pseudonymise(docs: DataFrame, key: str, text_column: str = "text", count_col
         searched = searched.withColumn(count_column, F.when(text.isNull(), 0).otherwise(F.size(changed)).cast("long"))
     return searched.withColumn(text_column, fresh).drop(old, new)
 
-
-def _free(docs: DataFrame, name: str) -> str:
-    """A name no column of `docs` has."""
-    taken = {c.lower() for c in docs.columns}
-    while name in taken:
-        name += "_"
-    return name

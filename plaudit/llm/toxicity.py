@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from plaudit.llm.words import mix, powers, releasing
+from plaudit.llm.words import free_name, mix, powers, releasing
 from plaudit.operators.sampling import sample_rows
 from plaudit.session import cut_lineage
 
@@ -198,8 +198,9 @@ def score(docs: DataFrame, model: ToxicityModel, text_column: str = "text", name
     Every row keeps its columns; a column called like the score is replaced.
     """
     kept = [c for c in docs.columns if c != name]
-    source = docs.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{text_column}`").cast("string").alias("__text"))
-    schema = source.drop("__text").schema.add(name, "double")
+    given = free_name(kept, "given")
+    source = docs.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{text_column}`").cast("string").alias(given))
+    schema = source.drop(given).schema.add(name, "double")
     slots, weights = model.slots.tobytes(), model.weights.astype(float).tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

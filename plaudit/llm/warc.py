@@ -11,9 +11,11 @@ from __future__ import annotations
 import base64
 import gzip
 import hashlib
+import io
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
+from typing import BinaryIO
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -21,6 +23,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 # Fixed values of the format.
 VERSION = b"WARC/1.1"
 END = b"\r\n\r\n"
+# Records handed on at once.
+BATCH_BYTES = 8 << 20
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 PARSED = (
     "page_id bigint, uri string, type string, origin string, segment int, total bigint, "
@@ -137,21 +141,24 @@ def write_warc(pages: DataFrame, path: str, id_column: str = "page_id", url_colu
     ).option("maxRecordsPerFile", how.file_records).text(path)
 
 
-def parse(content: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
-    """Header fields, names in lower case, and block of every record of an archive."""
+def parse(archive: bytes | BinaryIO) -> Iterator[tuple[dict[str, str], bytes]]:
+    """Header fields, names in lower case, and block of every record of an archive, one record in memory at a time."""
+    file = io.BytesIO(archive) if isinstance(archive, bytes) else archive
     at = 0
-    while at < len(content):
-        header_end = content.index(END, at)
-        first, *lines = content[at:header_end].decode("utf-8", "replace").split("\r\n")
-        if not first.startswith("WARC/"):
+    while first := file.readline():
+        if not first.startswith(b"WARC/"):
             raise ValueError(f"no record at byte {at}")
+        lines = []
+        while (line := file.readline()) != b"\r\n":
+            if not line:
+                raise ValueError(f"the header at byte {at} does not end")
+            lines.append(line.decode("utf-8", "replace"))
         fields = {name.strip().lower(): value.strip() for name, _, value in (line.partition(":") for line in lines)}
-        start = header_end + len(END)
-        end = start + int(fields["content-length"])
-        if content[end : end + len(END)] != END:
+        block = file.read(int(fields["content-length"]))
+        if file.read(len(END)) != END:
             raise ValueError(f"the record at byte {at} does not end where its length says")
-        yield fields, content[start:end]
-        at = end + len(END)
+        yield fields, block
+        at = file.tell()
 
 
 def http_payload(block: bytes) -> bytes:
@@ -198,7 +205,8 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
     """Every response and revisit record, with decoded payload (null for a revisit) and its digest.
 
     Responses in one record are decoded where they are read.  Only segments are shuffled, by the
-    id of the record they continue; a group is one record.  An archive file is read as a whole.
+    id of the record they continue; a group is one record.  The compressed file is in memory as a whole, its
+    records one after the other.
     """
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path).select("content")
     names = [field.split()[0] for field in PARSED.split(", ")]
@@ -207,17 +215,18 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for content in batch.column(0):
-                rows = []
-                for f, block in parse(gzip.decompress(content.as_py())):
+                rows, held = [], 0
+                for f, block in parse(gzip.GzipFile(fileobj=pa.BufferReader(content.as_buffer()))):
                     segment = _number(f.get("warc-segment-number"))
                     digest = f.get("warc-payload-digest")
                     origin = f.get("warc-segment-origin-id", f["warc-record-id"]) if segment else None
                     rows.append((_number(f.get("warc-page-id")), f.get("warc-target-uri"), f["warc-type"], origin, segment,
                                  _number(f.get("warc-segment-total-length")), digest and digest.removeprefix("sha1:"),
                                  _number(f.get("warc-refers-to-page-id")), block))
-                    if len(rows) == 512:
+                    held += len(block)
+                    if len(rows) == 512 or held > BATCH_BYTES:
                         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
-                        rows = []
+                        rows, held = [], 0
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
 
@@ -245,10 +254,10 @@ def lengths_of(records: DataFrame) -> DataFrame:
 def pages_of(records: DataFrame) -> DataFrame:
     """Per record of `lengths_of`: page, payload length and digest, type and the page it refers to.
 
-    A revisit has the length of the response with its digest.
+    A revisit has the length of the response with its digest, null where none is among the records.
     """
     columns = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
     responses = records.filter("record_type = 'response'").select(*columns)
     known = responses.groupBy(F.col("payload_digest").alias("of")).agg(F.max("payload_bytes").alias("length"))
-    revisits = records.filter("record_type = 'revisit'").join(known, F.col("payload_digest") == F.col("of"))
+    revisits = records.filter("record_type = 'revisit'").join(known, F.col("payload_digest") == F.col("of"), "left")
     return responses.unionByName(revisits.withColumn("payload_bytes", F.col("length")).select(*columns))

@@ -41,6 +41,14 @@ def powers(base: int, n: int) -> np.ndarray:
     return known[:n]
 
 
+def free_name(columns: list[str], name: str) -> str:
+    """`name`, made longer until no column has it."""
+    taken = {c.lower() for c in columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def give_back() -> None:
     """Hand the freed memory of this Python worker back to the system; the worker lives on beside a JVM that needs it."""
     pa.default_memory_pool().release_unused()

@@ -268,6 +268,32 @@ def test_cards_in_long_runs_and_addresses_of_any_length_and_script(spark):
     assert not set(got[10][:4]) & set("abcdefghijklmnopqrstuvwxyz") and got[10] != texts[10]
 
 
+def test_clashing_names_and_orphan_revisits(spark, odd):
+    clash = odd.withColumn("given", F.lit("x")).withColumn("given_", F.lit("y"))
+    assert {(r["given"], r["given_"]) for r in bpe.encode(clash, vocabulary_path()).collect()} == {("x", "y")}
+    model = toxicity.ToxicityModel((4, 5, 6), np.zeros(0, np.int64), np.zeros(0), 0.0)
+    assert {(r["given"], r["given_"], r["score"]) for r in toxicity.score(clash, model).collect()} == {("x", "y", 0.5)}
+    assert pii.pseudonymise(clash, "k", count_column="found").columns == [*clash.columns, "found"]
+    orphan = spark.createDataFrame([(1, "u", "revisit", 9, "AAAA", None)], "page_id long, uri string, record_type string, refers_to long, payload_digest string, payload_bytes long")
+    row = warc.pages_of(orphan).collect()
+    assert [(r["page_id"], r["payload_bytes"], r["refers_to"]) for r in row] == [(1, None, 9)]
+
+
+def test_pages_equal_brute_force(spark):
+    rows = spark.read.parquet("/root/testdata/sf0.01/pages.parquet").collect()
+    first = {}
+    for r in rows:
+        first[r["html"] or ""] = min(first.get(r["html"] or "", r["page_id"]), r["page_id"])
+    wanted = []
+    for r in rows:
+        text = r["html"] or ""
+        digest = base64.b32encode(hashlib.sha1(text.encode()).digest()).decode()
+        other = first[text] if first[text] != r["page_id"] else None
+        wanted.append((r["page_id"], len(text.encode()), digest, "response" if other is None else "revisit", other))
+    got = [tuple(r[c] for c in ("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")) for r in QUERIES["op9_warc"](spark, "/root/testdata/sf0.01").collect()]
+    assert sorted(got) == sorted(wanted)
+
+
 def test_quality_is_right_on_held_out_rows(spark, odd, none):
     folder = "/root/testdata/sf0.01"
     labels = spark.read.parquet(f"{folder}/labels.parquet")
