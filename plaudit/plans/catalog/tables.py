@@ -4,8 +4,10 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
+from plaudit.functions.texts import code_points
 from plaudit.operators import cleaning, quality
 from plaudit.operators.graph import Graph
+from plaudit.plans import etl
 from plaudit.plans.catalog.base import query
 from plaudit.session import new_path
 from plaudit.sources import documents, files, schemas, upserts
@@ -178,6 +180,49 @@ def _(w):
     return quality.row_counts(Graph.read(w.spark, folder).tables())
 
 
+@query(
+    "etl_round_trip",
+    """SELECT b.business_id, b.city, b.stars, b.review_count, b.checkin_count, b.tip_count, len(list_distinct(b.categories)) AS n_labels,
+              (SELECT count(*) FROM reviews r WHERE r.business_id = b.business_id) AS n_edges,
+              (SELECT coalesce(CAST(sum(r.text_length) AS BIGINT), 0) FROM written_reviews r
+               WHERE r.business_id = b.business_id) AS n_letters,
+              (SELECT count(DISTINCT t.user_id) FROM tips t
+               WHERE t.business_id = b.business_id AND t.user_id IN (SELECT user_id FROM users)) AS n_advisers,
+              (SELECT count(DISTINCT r.user_id) FROM reviews r JOIN users u ON u.user_id = r.user_id
+               WHERE r.business_id = b.business_id AND u.is_elite_ever) AS n_elite
+       FROM businesses b""",
+)
+def _(w):
+    """The whole way: raw JSON files, cleaned tables, graph; every business with what tables and graph know of it."""
+    raw, tables, stored = (new_path(w.spark, name) for name in ("raw", "tables", "graph"))
+    stamp = F.date_format("date", "yyyy-MM-dd HH:mm:ss").alias("date")
+    entities = {
+        "business": w.raw_businesses,
+        "user": w.raw_users,
+        "review": w.reviews_with_text.select("review_id", "user_id", "business_id", F.col("stars").cast("double"), "useful", "text", stamp),
+        "tip": w.tips.select("user_id", "business_id", "text", stamp, F.lit(0).cast("long").alias("compliment_count")),
+        "checkin": w.raw_checkins,
+    }
+    for name, rows in entities.items():
+        rows.write.json(f"{raw}/{name}.json")
+    paths = etl.run_etl(w.spark, raw, tables)
+    graph = etl.run_graph_build(w.spark, tables, stored)
+    clean = {name: w.spark.read.parquet(path) for name, path in paths.items()}
+    per_review = clean["reviews"].groupBy("business_id").agg(F.sum(code_points(F.col("text"))).cast("long").alias("n_letters"))
+    known = graph.reviewed.join(clean["users"].select("user_id", "is_elite_ever"), "user_id")
+    edges = known.groupBy("business_id").agg(
+        F.count(F.lit(1)).alias("n_edges"), F.count_distinct(F.when(F.col("is_elite_ever"), F.col("user_id"))).alias("n_elite")
+    )
+    advisers = graph.tip_left.groupBy("business_id").agg(F.count_distinct("user_id").alias("n_advisers"))
+    labels = graph.in_category.groupBy("business_id").agg(F.count(F.lit(1)).alias("n_labels"))
+    found = graph.business.select("business_id", "stars", "review_count").join(graph.located_in, "business_id")
+    found = found.join(clean["businesses"].select("business_id", "checkin_count", "tip_count"), "business_id")
+    counts = ("n_labels", "n_edges", "n_letters", "n_advisers", "n_elite")
+    for part in (labels, edges, per_review, advisers):
+        found = found.join(part, "business_id", "left")
+    return found.select("business_id", "city", "stars", "review_count", "checkin_count", "tip_count", *[F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in counts])
+
+
 @query(
     "named_result_sets",
     """SELECT 'cities' AS query, 'Businesses by city' AS title, count(DISTINCT city) AS n FROM businesses
