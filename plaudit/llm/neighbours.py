@@ -35,7 +35,7 @@ class Search:
     nearest: int = 20
     dimensions: int = 8
     leaf: int = 256
-    miss: float = 0.05
+    miss: float = 0.01
     block: int = 16_384
     queries: int = 2_048
     seed: int = 5
@@ -135,9 +135,9 @@ def nearest(vectors: DataFrame, is_query, id_column: str = "vec_id", vector_colu
     """`query_id`, `rank`, `vec_id`, `score` of the nearest vectors found for every query.
 
     `is_query` is a condition on the id.  Vectors that are null, empty, zero or hold null, NaN or
-    infinite components take no part, nor do rows without an id; the others have one length.
-    A row with the query's id is never its neighbour; repeated ids count once.  Ties go to the
-    smaller id.
+    infinite components take no part, nor do rows without an id.  Vectors of another length than
+    the query's are no neighbours of it.  A row with the query's id is never its neighbour; of rows that
+    repeat an id the one with the smallest vector counts.  Ties go to the smaller id.
     """
     x = F.col(f"`{vector_column}`")
     finite = lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf"))
@@ -145,7 +145,8 @@ def nearest(vectors: DataFrame, is_query, id_column: str = "vec_id", vector_colu
     chosen = vectors.filter(usable & F.col(f"`{id_column}`").isNotNull()).select(
         F.col(f"`{id_column}`").cast("long").alias("id"), x.cast("array<double>").alias("x")
     )
-    chosen = cut_lineage(chosen.dropDuplicates(["id"]), "vectors")
+    chosen = chosen.groupBy("id").agg(F.min("x").alias("x")).withColumn("size", F.size("x"))
+    chosen = cut_lineage(chosen, "vectors")
     rows = chosen.count()
     queries = chosen.filter(is_query(F.col("id")))
     blocks = max(1, -(-rows // how.block))
@@ -155,8 +156,8 @@ def nearest(vectors: DataFrame, is_query, id_column: str = "vec_id", vector_colu
     part_of = F.pmod(F.xxhash64("id", F.lit("query")), F.lit(parts)).cast("int")
     everywhere = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     sides = (
-        chosen.select(block_of.alias("block"), everywhere(parts).alias("part"), F.lit(False).alias("asks"), "id", "x")
-        .unionByName(queries.select(everywhere(blocks).alias("block"), part_of.alias("part"), F.lit(True).alias("asks"), "id", "x"))
+        chosen.select(block_of.alias("block"), everywhere(parts).alias("part"), F.lit(False).alias("asks"), "size", "id", "x")
+        .unionByName(queries.select(everywhere(blocks).alias("block"), part_of.alias("part"), F.lit(True).alias("asks"), "size", "id", "x"))
     )
 
     def run(table: pa.Table) -> pa.Table:
@@ -169,5 +170,5 @@ def nearest(vectors: DataFrame, is_query, id_column: str = "vec_id", vector_colu
         columns = [np.concatenate(c) for c in zip(*out)] if out else [np.zeros(0, np.int64)] * 2 + [np.zeros(0)]
         return pa.table({"query_id": columns[0].astype(np.int64), "vec_id": columns[1].astype(np.int64), "score": columns[2]})
 
-    found = sides.groupBy("block", "part").applyInArrow(run, "query_id bigint, vec_id bigint, score double")
+    found = sides.groupBy("block", "part", "size").applyInArrow(run, "query_id bigint, vec_id bigint, score double")
     return top_per_group(found, ["query_id"], "score", ["vec_id"], how.nearest, place="rank").select("query_id", "rank", "vec_id", "score")

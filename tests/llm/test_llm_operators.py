@@ -200,7 +200,7 @@ def test_neighbours_recall_ties_and_odd_vectors(spark):
         hits += len(set(found.vec_id) & set(ids[np.argsort(-scores)[:20]]))
         assert list(found["rank"]) == list(range(1, 21)) and np.allclose(found.score, [scores[ids == v][0] for v in found.vec_id])
     assert hits >= 0.9 * 20 * (ids % 20 == 0).sum()
-    odd = [(0, [1.0, 0.0]), (0, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [1.0, 0.0]), (3, None), (4, [float("nan"), 1.0]), (5, [0.0, 0.0]), (6, [None, 1.0]), (7, [float("inf"), 0.0])]
+    odd = [(0, [1.0, 0.0]), (0, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [1.0, 0.0]), (3, None), (4, [float("nan"), 1.0]), (5, [0.0, 0.0]), (6, [None, 1.0]), (7, [float("inf"), 0.0]), (8, [1.0, 2.0, 3.0]), (1, [5.0, 0.0])]
     few = spark.createDataFrame(odd, "vec_id long, embedding array<double>")
     assert [(r["rank"], r["vec_id"]) for r in neighbours.nearest(few, lambda i: i == 0).orderBy("rank").collect()] == [(1, 1), (2, 2)]
     assert neighbours.nearest(few.limit(0), lambda i: i == 0).count() == 0
