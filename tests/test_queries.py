@@ -10,7 +10,7 @@ import oracle
 FOLDER = os.environ.get("PLAUDIT_TEST_DIR", "/root/testdata/sf0.01")
 QUERIES, ORACLES = contract.queries(), contract.oracle_sql()
 # Minutes of small jobs each in local mode; their operators are tested against brute force.
-SLOW = {"friend_communities", "community_modularity", "community_geo",
+SLOW = {"friend_communities", "community_modularity", "community_geo", "community_convergence",
         "link_prediction_metrics", "link_feature_importance", "recommendations", "feature_attribution"}
 
 
