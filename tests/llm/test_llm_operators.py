@@ -375,3 +375,19 @@ def test_pipeline_stages_keep_rows_apart_that_share_an_id(spark, odd):
     assert words == {s: n for s, n in target.items() if n}
     last = corpus_pipeline.encode_tokens(spark, mixed, SMALL)
     assert last.filter("not decodes").count() == 0 and last.count() == mixed.count()
+
+
+def test_near_duplicates_and_neighbours_equal_brute_force_on_more_rows(spark):
+    folder = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{folder}/documents.parquet").collect()
+    brute = brute_components([(r["doc_id"], r["text"]) for r in docs], 3, 85)
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in QUERIES["op3_near_duplicates"](spark, folder).collect()}
+    assert got == {i: tuple(v) for i, v in brute.items()}
+    data = spark.read.parquet(f"{folder}/embeddings.parquet").toPandas()
+    x, ids = np.array(data.embedding.tolist(), float), data.vec_id.to_numpy()
+    wanted = set()
+    for i in np.flatnonzero(ids % 20 == 0):
+        scores = np.where(ids == ids[i], -np.inf, x @ x[i])
+        wanted |= {(int(ids[i]), int(v)) for v in ids[np.lexsort((ids, -scores))[:20]]}
+    found = {(r["query_id"], r["vec_id"]) for r in QUERIES["op5_neighbours"](spark, folder).collect()}
+    assert len(found) == len(wanted) and len(found & wanted) >= 0.99 * len(wanted)
