@@ -1,7 +1,9 @@
 """Link prediction on a graph with two planted circles."""
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.ml.classification import RandomForestClassifier
+from pyspark.ml.linalg import Vectors
+from pyspark.sql import Observation, functions as F
 
 from plaudit.operators.graph import Graph
 from plaudit.plans import links
@@ -55,6 +57,19 @@ def test_model_finds_the_circles(spark, circles):
     assert same >= 10
 
 
+def test_a_forest_scores_after_a_frame_was_observed(spark):
+    seen = Observation()
+    spark.range(3).observe(seen, F.count(F.lit(1)).alias("n")).collect()
+    assert seen.get["n"] == 3
+    rows = spark.createDataFrame([(float(i % 2), Vectors.dense([float(i % 2), float(i)])) for i in range(20)], ["label", "features"])
+    fitted = RandomForestClassifier(numTrees=2, maxDepth=2, seed=1).fit(rows)
+    forest = links._without_summary(fitted, spark)
+    assert forest.featureImportances == fitted.featureImportances
+    assert forest.toDebugString == fitted.toDebugString
+    found = forest.transform(rows).groupBy("label").agg(F.min("prediction"), F.max("prediction")).collect()
+    assert {tuple(r) for r in found} == {(0.0, 0.0, 0.0), (1.0, 1.0, 1.0)}
+
+
 def test_audience_recommendations_reach_every_user_without_a_product(spark, circles):
     found = links.audience_recommendations(circles, nearest=10, k=3)
     plan = found._jdf.queryExecution().toString()
