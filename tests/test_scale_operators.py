@@ -1,6 +1,7 @@
 """Skew, order statistics and sampling: the large-data paths against plain results."""
 
 import hashlib
+from types import SimpleNamespace
 
 import numpy as np
 import pandas as pd
@@ -8,9 +9,11 @@ import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
+from plaudit.operators.graph import reviewed
 from plaudit.operators.ranking import average_ranks, exact_percentiles, spearman, value_positions
 from plaudit.operators.sampling import dense_index, sample_rows, stratified_split
 from plaudit.operators.skew import HotKeys, hot_key_join, salted_join
+from plaudit.plans.workspace import StoredGraph
 from plaudit.session import cut_lineage, shared_folder
 
 FEW = settings(max_examples=3, deadline=None, suppress_health_check=list(HealthCheck))
@@ -158,3 +161,22 @@ def test_cut_lineage_reads_from_the_shared_folder(spark):
     df = cut_lineage(spark.range(5).select(F.array("id").alias("a"), F.lit("x").alias("b")))
     assert all(name.startswith(("file:", "hdfs:", "/")) and shared_folder(spark).split(":")[-1] in name for name in df.inputFiles())
     assert df.count() == 5 and df.columns == ["a", "b"]
+
+
+def test_a_graph_table_is_built_without_the_others(spark):
+    shops = spark.createDataFrame([("b1", "X"), ("b2", "X"), ("b3", None)], "business_id string, state string")
+    # No users, reviews or tips at all: asking for them would fail.
+    stored = StoredGraph(SimpleNamespace(businesses=shops))
+    assert [r.code for r in stored.state.collect()] == ["X"]
+    assert stored.state is stored.state
+
+
+def test_review_edges_are_sorted_only_after_they_were_dealt_out(spark):
+    rows = [("u1", "b1", "r1", 3, "2020-01-01"), ("u1", "b1", "r1", 4, "2020-01-02"), ("u1", "b1", "r1", 5, None), ("u2", "b9", "r2", 1, None)]
+    reviews = spark.createDataFrame(rows, "user_id string, business_id string, review_id string, stars int, date string")
+    users = spark.createDataFrame([("u1",), ("u2",)], "user_id string")
+    found = reviewed(reviews, users, spark.createDataFrame([("b1",)], "business_id string"))
+    assert [tuple(r) for r in found.select("review_id", "stars", "date").collect()] == [("r1", 4, "2020-01-02")]
+    # Partial and final sums lie behind the exchange that deals the rows out.
+    plan = found._jdf.queryExecution().sparkPlan().toString()
+    assert plan.rindex("Aggregate(") < plan.index("REPARTITION_BY_COL")
