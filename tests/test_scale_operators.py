@@ -9,6 +9,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
+from plaudit.operators.embedding import _neighbour_sums, fast_rp
 from plaudit.operators.graph import reviewed
 from plaudit.operators.ranking import average_ranks, exact_percentiles, spearman, value_positions
 from plaudit.operators.sampling import dense_index, sample_rows, stratified_split
@@ -180,3 +181,25 @@ def test_review_edges_are_sorted_only_after_they_were_dealt_out(spark):
     # Partial and final sums lie behind the exchange that deals the rows out.
     plan = found._jdf.queryExecution().sparkPlan().toString()
     assert plan.rindex("Aggregate(") < plan.index("REPARTITION_BY_COL")
+
+
+def test_hubs_have_the_embedding_of_an_undivided_sum(spark):
+    pairs = spark.range(300).select(F.lit("hub").alias("src"), F.concat(F.lit("n"), "id").alias("dst"))
+    chain = spark.range(299).select(F.concat(F.lit("n"), "id").alias("src"), F.concat(F.lit("n"), F.col("id") + 1).alias("dst"))
+    both = pairs.union(chain)
+    edges = both.union(both.select("dst", "src"))
+    vertices = edges.select(F.col("src").alias("id")).distinct().union(spark.createDataFrame([("alone",)], "id string"))
+    plain = {r.id: r.embedding for r in fast_rp(vertices, edges, 8).collect()}
+    split = {r.id: r.embedding for r in fast_rp(vertices, edges, 8, share=0.1, min_rows=50).collect()}
+    assert plain.keys() == split.keys() and plain["alone"] == [0.0] * 8
+    assert any(plain["hub"])
+    assert all(abs(a - b) < 1e-9 for key in plain for a, b in zip(plain[key], split[key]))
+
+
+def test_vectors_travel_once_per_step_and_not_as_sums_by_task(spark):
+    steps = spark.createDataFrame([("a", "b"), ("b", "a")], "src string, dst string")
+    state = spark.createDataFrame([("a", [1, -1], 1.0), ("b", [0, 1], 1.0)], "id string, v array<int>, norm double")
+    found = _neighbour_sums(steps, state, HotKeys("dst", ()), 2)
+    assert {r.id: r.v for r in found.collect()} == {"a": [0.0, 1.0], "b": [1.0, -1.0]}
+    plan = found._jdf.queryExecution().sparkPlan().toString()
+    assert plan.rindex("Aggregate(") < plan.index("REPARTITION_BY_COL")
