@@ -5,6 +5,7 @@ import random
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -200,6 +201,35 @@ def test_sampled_betweenness_uses_only_its_sources_in_any_batching(spark):
         assert found == pytest.approx(expected)
 
 
+def test_betweenness_keeps_one_row_per_vertex_for_all_sources(spark, monkeypatch):
+    sizes, cut = [], centrality.cut_lineage
+    monkeypatch.setattr(centrality, "cut_lineage", lambda df, label: sizes.append((label, (made := cut(df, label)).count())) or made)
+    nodes = ["hub", *[f"n{i}" for i in range(9)]]
+    vertices = spark.createDataFrame([(v,) for v in nodes], "id string")
+    pairs = [("hub", v) for v in nodes[1:]]
+    found = dict(rows(centrality.betweenness(vertices, undirected(spark, pairs), None, 10, share=0.01, min_rows=2)))
+    assert found == pytest.approx(brute_betweenness(nodes, pairs, nodes))
+    # Ten sources reach ten vertices each; a level had a row for every source and vertex.
+    assert max(n for label, n in sizes if label in ("level", "delta")) == 10
+
+
+def test_a_vertex_may_go_on_in_the_next_batch():
+    def batch(*rows):
+        return pa.RecordBatch.from_arrays(
+            [pa.array(c, t) for c, t in zip(zip(*rows), (pa.string(), pa.int32(), pa.list_(pa.int32()), pa.list_(pa.float64())))],
+            ["node", "role", "at", "value"],
+        )
+
+    sent, known, past = centrality.SENT, centrality.KNOWN, centrality.PAST
+    batches = [
+        batch(("a", sent, [0, 1], [1.0, 2.0]), ("b", sent, [0, 2], [1.0, 1.0])),
+        batch(("b", sent, [2, 1], [3.0, 1.0])),
+        batch(("b", known, [0], [1.0]), ("b", past, [1], [1.0]), ("c", known, [0], [1.0])),
+    ]
+    made = [r for b in centrality._met(3, centrality._ahead)(iter(batches)) for r in b.to_pylist()]
+    assert [(r["node"], r["at"], r["value"]) for r in made] == [("a", [0, 1], [1.0, 2.0]), ("b", [2], [4.0]), ("c", [], [])]
+
+
 def test_louvain_separates_cliques(spark):
     cliques = [[f"a{i}" for i in range(5)], [f"b{i}" for i in range(5)], [f"c{i}" for i in range(4)]]
     pairs = [p for c in cliques for p in itertools.combinations(c, 2)] + [("a0", "b0"), ("b1", "c0")]
