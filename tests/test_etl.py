@@ -190,3 +190,31 @@ def test_incremental_ingest_resumes(spark, tmp_path):
     table = spark.read.parquet(target)
     assert sorted(r.review_id for r in table.collect()) == ["r1", "r2", "r3"]
     assert dict(table.dtypes)["date"] == "timestamp_ntz"
+
+
+def test_users_are_summed_without_review_rows(spark, tmp_path):
+    from plaudit.plans.workspace import Workspace
+
+    tables = {
+        "customer": ([(0, "a"), (1, "b"), (2, "c")], "c_custkey long, c_name string"),
+        "orders": ([(0, 1), (1, 1), (2, 2), (2, 2), (3, 0), (None, 0)], "o_orderkey long, o_custkey long"),
+        "lineitem": (
+            [(0, 1, 1, 1, 5.0, 0.05), (0, 1, 1, 2, 25.0, 0.02), (1, 1, 1, 1, None, 0.01), (2, 1, 1, 1, 50.0, None),
+             (9, 1, 1, 1, 1.0, 0.1), (None, 1, 1, 1, 1.0, 0.1)],
+            "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_discount double",
+        ),
+        # Four rows: order 1 falls on a document number that occurs twice.
+        "documents": ([(0, "x"), (1, "y"), (1, "z"), (None, "w")], "doc_id long, text string"),
+    }
+    for name, (data, schema) in tables.items():
+        df = spark.createDataFrame(data, schema)
+        if name == "lineitem":
+            df = df.withColumn("l_shipdate", F.lit("2000-01-01").cast("timestamp_ntz"))
+        df.write.parquet(str(tmp_path / f"{name}.parquet"))
+    w = Workspace(spark, str(tmp_path))
+    found = {r.user_id: (r.review_count, r.useful, r.average_stars) for r in w.users.collect()}
+    assert "reviews" not in vars(w)
+    assert found == {"u0": (0, 0, None), "u1": (4, 9, 2.0), "u2": (2, 0, 5.0)}
+    # As many as the reviews themselves.
+    by_row = w.reviews.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"), F.sum("useful").alias("useful"), F.avg("stars").alias("stars"))
+    assert {r.user_id: (r.n, r.useful or 0, r.stars) for r in by_row.collect()} == {k: v for k, v in found.items() if v[0]}
