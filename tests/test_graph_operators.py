@@ -245,6 +245,15 @@ def test_louvain_separates_cliques(spark):
     assert communities.modularity(edges, found) > communities.modularity(edges, alone)
 
 
+def test_louvain_rounds_send_nothing_through_the_driver(spark, monkeypatch):
+    plans, cut = [], communities.cut_lineage
+    monkeypatch.setattr(communities, "cut_lineage", lambda df, label: plans.append(df._jdf.queryExecution().executedPlan().toString()) or cut(df, label))
+    edges = undirected(spark, [(f"{c}{i}", f"{c}{j}") for c in "ab" for i, j in itertools.combinations(range(4), 2)] + [("a0", "b0")])
+    communities.louvain(edges.select(F.col("src").alias("id")).distinct(), edges)
+    assert len(plans) > 5 and any("SortMergeJoin" in p for p in plans)
+    assert not any("BroadcastHashJoin" in p or "BroadcastExchange" in p for p in plans)
+
+
 def brute_similarity(visits, k):
     audience = defaultdict(set)
     for group, item, member in visits:
