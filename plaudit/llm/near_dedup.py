@@ -10,9 +10,8 @@
    probability of reaching the threshold is below `miss`.
 4. Survivors are confirmed on their full shingle sets.
 
-Buckets beyond `block` members are compared pair of blocks by pair of blocks.  From `block * bands / 2`
-members on they are first split by their agreement in a second and third band: a pair at the
-threshold that shares this band alone, a chance of about 1e-4 at the default parameters, does not meet there.
+Buckets beyond `block` members are compared pair of blocks by pair of blocks, so that all their members
+meet whatever their number; the work on such a bucket grows with the square of its size.
 """
 
 from __future__ import annotations
@@ -259,47 +258,25 @@ def _confirmed(pairs: DataFrame, found: DataFrame, plan: NearDedup) -> DataFrame
     return joined.select("a", "b", "x", "y").mapInArrow(releasing(compare), "a binary, b binary")
 
 
-def _split_large(members: DataFrame, nodes: DataFrame, plan: NearDedup, levels: int = 2) -> DataFrame:
+def _split_large(members: DataFrame, plan: NearDedup) -> DataFrame:
     """Members of buckets no larger than a block, with `part` 0, or 1 for the second block of a pair.
 
-    A large bucket is cut into blocks by hash, each pair of blocks a bucket, as long as that copies a
-    member less often than there are bands.  A larger one is first split by the agreement of
-    its members in a further band, twice if needed.
+    A larger bucket is cut into blocks by hash, and each pair of blocks is a bucket, whatever its size.
     """
-    done = []
-    few_blocks = plan.block * plan.bands // 2
-    for level in range(levels + 1):
-        sizes = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("members"))
-        members = cut_lineage(members.join(sizes, "bucket"), "members")
-        done.append(members.filter(F.col("members") <= plan.block).select("bucket", "node", F.lit(0).alias("part")))
-        in_blocks = members.filter(F.col("members") > plan.block)
-        if level < levels:
-            in_blocks = in_blocks.filter(F.col("members") <= few_blocks)
-        blocks = F.ceil(2 * F.col("members") / plan.block).cast("int")
-        pairs = in_blocks.withColumn("own", F.pmod(F.xxhash64("node"), blocks).cast("int")).select(
-            "bucket", "node", "own", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other")
-        )
-        done.append(
-            pairs.select(
-                F.xxhash64("bucket", F.least("own", "other"), F.greatest("own", "other")).alias("bucket"),
-                "node",
-                (F.col("own") > F.col("other")).cast("int").alias("part"),
-            )
-        )
-        members = members.filter(F.col("members") > few_blocks)
-        if level == levels or members.isEmpty():
-            break
-        again = band_keys(nodes.join(members.select("node").distinct(), "node", "left_semi"), plan)
-        members = (
-            members.select("bucket", "node")
-            .join(again.withColumnRenamed("bucket", "further"), "node")
-            .filter(F.col("bucket") != F.col("further"))
-            .select(F.xxhash64("bucket", "further").alias("bucket"), "node")
+    sizes = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("members"))
+    members = cut_lineage(members.join(sizes, "bucket"), "members")
+    small = members.filter(F.col("members") <= plan.block).select("bucket", "node", F.lit(0).alias("part"))
+    blocks = F.ceil(2 * F.col("members") / plan.block).cast("int")
+    pairs = members.filter(F.col("members") > plan.block).withColumn("own", F.pmod(F.xxhash64("node"), blocks).cast("int")).select(
+        "bucket", "node", "own", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other")
+    )
+    return small.unionByName(
+        pairs.select(
+            F.xxhash64("bucket", F.least("own", "other"), F.greatest("own", "other")).alias("bucket"),
+            "node",
+            (F.col("own") > F.col("other")).cast("int").alias("part"),
         )
-    split = done[0]
-    for more in done[1:]:
-        split = split.unionByName(more)
-    return split
+    )
 
 
 def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", plan: NearDedup = NearDedup()) -> DataFrame:
@@ -337,7 +314,7 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     root_of = open_buckets.select("node", "root").distinct()
     found = _shingles(root_of.select("node"), docs, id_column, text_column, reps, plan)
     members_of = cut_lineage(nodes.select("node", "signature").join(found, "node").join(root_of, "node"), "members")
-    split = _split_large(open_buckets.select("bucket", "node"), nodes, plan)
+    split = _split_large(open_buckets.select("bucket", "node"), plan)
 
     def across(table: pa.Table) -> pa.Table:
         links = _links_across(table, plan)

@@ -149,6 +149,23 @@ def test_near_duplicates_equal_brute_force(spark, words, percent):
     assert got == brute_components([(r["doc_id"], r["text"]) for r in docs.collect()], words, percent)
 
 
+def test_near_duplicates_meet_in_buckets_of_any_size(spark):
+    """All texts share one bucket and nothing else; it is many times larger than a block."""
+    plan = near_dedup.NearDedup(words=1, percent=80, rows=1, unseen=0.9, block=8)
+    assert plan.bands == 1
+    words = spark.createDataFrame([(i, f"w{i}") for i in range(600)], "doc_id long, text string")
+    signed = near_dedup.signatures(words, "doc_id", "text", plan).select("id", "signature").collect()
+    lowest = min(signed, key=lambda r: int(np.frombuffer(r["signature"], np.uint32)[0]))["id"]
+    others = [f"w{i}" for i in range(600) if i != lowest]
+    rows = []
+    for g in range(30):
+        text = " ".join([f"w{lowest}", *others[10 * g : 10 * g + 9]])
+        rows += [(2 * g, text), (2 * g + 1, f"{text} {others[10 * g + 9]}")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r["component_id"] for r in near_dedup.near_duplicates(docs, plan=plan).collect()}
+    assert got == {i: i - i % 2 for i in range(60)}
+
+
 def test_near_duplicates_odd_rows(odd, none):
     got = near_dedup.near_duplicates(odd).collect()
     by_id = {r["doc_id"]: r for r in got}
