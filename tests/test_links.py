@@ -6,6 +6,7 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import Observation, functions as F
 
 from plaudit.operators.graph import Graph
+from plaudit.operators.similarity import audience_similarity
 from plaudit.plans import links
 from plaudit.session import cut_lineage
 
@@ -70,6 +71,19 @@ def test_a_forest_scores_after_a_frame_was_observed(spark):
     assert {tuple(r) for r in found} == {(0.0, 0.0, 0.0), (1.0, 1.0, 1.0)}
 
 
+def test_nearest_audiences_are_counted_and_placed_after_one_shuffle(spark):
+    visits = spark.range(3000).select(
+        F.lit("all").alias("group"), F.concat(F.lit("b"), F.col("id") % 40).alias("item"), F.concat(F.lit("u"), F.col("id") * 7 % 311).alias("member")
+    )
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = audience_similarity(visits, 5)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    below = plan[plan.index("Window [row_number") :]
+    assert "HashAggregate" in below[: below.index("Exchange")]
+
+
 def test_audience_recommendations_reach_every_user_without_a_product(spark, circles):
     found = links.audience_recommendations(circles, nearest=10, k=3)
     plan = found._jdf.queryExecution().toString()
