@@ -71,6 +71,18 @@ def test_a_tree_of_one_leaf_has_bias_only(spark):
     assert path_contributions(rows.limit(0), nodes, "k", ["x"]).isEmpty()
 
 
+def test_rows_are_not_multiplied_by_trees_and_repeated_keys_add_up(spark):
+    columns = "tree int, weight double, node int, feature int, threshold double, left int, right int, value double"
+    nodes = spark.createDataFrame(
+        [(0, 1.0, 0, 0, 1.0, 1, 2, 4.0), (0, 1.0, 1, None, None, None, None, 1.0), (0, 1.0, 2, None, None, None, None, 8.0),
+         (1, 0.5, 0, None, None, None, None, 2.0)], columns)
+    rows = spark.createDataFrame([("a", 1.0), ("b", 2.0), ("c", 0.0), ("c", 3.0), (None, float("nan"))], "k string, x double")
+    found = path_contributions(rows, nodes, "k", ["x"])
+    assert {(r.k, r.bias, r.x, r.prediction) for r in found.collect()} == {
+        ("a", 5.0, -3.0, 2.0), ("b", 5.0, 4.0, 9.0), ("c", 10.0, 1.0, 11.0), (None, 5.0, 4.0, 9.0)}
+    assert "Generate" not in found._jdf.queryExecution().executedPlan().toString()
+
+
 def test_areas_match_pairs_and_curve(spark):
     rng = np.random.default_rng(2)
     label, score = rng.integers(0, 2, 300), rng.integers(0, 25, 300)
