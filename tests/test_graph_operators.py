@@ -404,3 +404,22 @@ def test_louvain_shrinks_its_frontier_and_keeps_communities_connected(spark):
                 reached.add(v)
                 open_ += near[v] & members
         assert reached == members
+
+
+def test_whole_edges_are_dealt_out_once(spark):
+    name = lambda letter, n: F.concat(F.lit(letter), F.col("id") % n)
+    reviews = spark.range(6000).select(
+        F.concat(F.lit("r"), "id").alias("review_id"), name("u", 700).alias("user_id"), name("b", 900).alias("business_id"),
+        F.lit(4).alias("stars"), F.lit("2020-01-01").cast("date").alias("date"),
+    )
+    users = spark.range(10, 5000).select(name("u", 10000).alias("user_id"))
+    shops = spark.range(20, 5000).select(name("b", 10000).alias("business_id"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "4k")
+    try:
+        edges = g.reviewed(reviews, users, shops)
+        plan = edges._jdf.queryExecution().executedPlan().toString()
+        kept = edges.count()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert kept == sum(i % 700 >= 10 and i % 900 >= 20 for i in range(6000))
+    assert plan.count("Exchange hashpartitioning") == 1
