@@ -9,7 +9,7 @@ from plaudit.operators import cleaning, quality
 from plaudit.operators.graph import Graph
 from plaudit.plans import etl
 from plaudit.plans.catalog.base import query
-from plaudit.session import new_path
+from plaudit.session import new_path, remove_path
 from plaudit.sources import documents, files, schemas, upserts
 
 # -- scans and sinks -----------------------------------------------------------------
@@ -204,8 +204,10 @@ def _(w):
         "checkin": w.raw_checkins,
     }
     for name, rows in entities.items():
-        rows.write.json(f"{raw}/{name}.json")
+        files.write_json_lines(rows, f"{raw}/{name}.json")
     paths = etl.run_etl(w.spark, raw, tables)
+    # The tables hold all that is read from here on.
+    remove_path(w.spark, raw)
     graph = etl.run_graph_build(w.spark, tables, stored)
     clean = {name: w.spark.read.parquet(path) for name, path in paths.items()}
     per_review = clean["reviews"].groupBy("business_id").agg(F.sum(code_points(F.col("text"))).cast("long").alias("n_letters"))

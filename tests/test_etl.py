@@ -218,3 +218,17 @@ def test_users_are_summed_without_review_rows(spark, tmp_path):
     # As many as the reviews themselves.
     by_row = w.reviews.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"), F.sum("useful").alias("useful"), F.avg("stars").alias("stars"))
     assert {r.user_id: (r.n, r.useful or 0, r.stars) for r in by_row.collect()} == {k: v for k, v in found.items() if v[0]}
+
+
+def test_texts_are_stored_compressed_in_files_that_share_the_reading(spark, tmp_path):
+    texts = spark.range(3000).select(F.col("id").cast("string").alias("review_id"), F.repeat(F.sha2(F.col("id").cast("string"), 256), 4).alias("text"))
+    lines, table = str(tmp_path / "review.json"), str(tmp_path / "reviews")
+    files.write_json_lines(texts.coalesce(1), lines, rows_per_file=700)
+    parts = list((tmp_path / "review.json").glob("part-*"))
+    assert len(parts) == 5 and all(p.name.endswith(".json.gz") for p in parts)
+    assert sum(p.stat().st_size for p in parts) < 3000 * 256 / 2
+    back = files.scan_json_lines(spark, lines, texts.schema)
+    assert back.exceptAll(texts).isEmpty() and back.count() == 3000
+    files.write_table(back, table)
+    assert all(p.name.endswith(".zstd.parquet") for p in (tmp_path / "reviews").glob("part-*"))
+    assert spark.read.parquet(table).exceptAll(texts).isEmpty()
