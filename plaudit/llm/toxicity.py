@@ -21,7 +21,11 @@ from plaudit.operators.sampling import sample_rows
 from plaudit.session import cut_lineage
 
 BITS = 20
-CHUNK_LETTERS = 1 << 19
+# Texts whose letters are hashed at once, rows whose texts are held at once, rows of a batch handed back:
+# two workers stand beside a JVM, and results do not depend on these.
+CHUNK_LETTERS = 1 << 17
+CHUNK_ROWS = 512
+OUT_ROWS = 1 << 16
 _BASE = 0xD1342543DE82EF95
 _BASE_INVERSE = pow(_BASE, -1, 2**64)
 
@@ -89,6 +93,12 @@ def present(texts: list[str], orders: tuple[int, ...], wanted: np.ndarray | None
         first += len(taken)
 
 
+def _some_rows(batch: pa.RecordBatch) -> Iterator[tuple[int, pa.RecordBatch]]:
+    """(first row, rows) of a batch in parts of `CHUNK_ROWS`."""
+    for first in range(0, batch.num_rows, CHUNK_ROWS):
+        yield first, batch.slice(first, CHUNK_ROWS)
+
+
 def held_out(doc_id) -> F.Column:
     """True for the rows of the fixed test fold: crc32 of the id as text, modulo 3, is 1."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 3 == 1, F.lit(False))
@@ -100,13 +110,14 @@ def _counts(rows: DataFrame, orders: tuple[int, ...]) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros((2, 1 << BITS), np.int64)
         for batch in batches:
-            label = np.array(batch.column(1).to_pylist(), np.int64)
-            for first, text, slot in present([t or "" for t in batch.column(0).to_pylist()], orders):
-                of = label[first + text]
-                for side in (0, 1):
-                    counts[side] += np.bincount(slot[of == side], minlength=1 << BITS)
-        slots = np.flatnonzero(counts.sum(axis=0))
-        yield pa.RecordBatch.from_arrays([pa.array(slots), pa.array(counts[0, slots]), pa.array(counts[1, slots])], ["slot", "others", "toxic"])
+            for _, rows in _some_rows(batch):
+                label = np.array(rows.column(1).to_pylist(), np.int64)
+                for first, text, slot in present([t or "" for t in rows.column(0).to_pylist()], orders):
+                    np.add.at(counts, (label[first + text], slot), 1)
+        slots = np.flatnonzero(counts.any(axis=0))
+        for i in range(0, len(slots), OUT_ROWS):
+            part = slots[i : i + OUT_ROWS]
+            yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(counts[0, part]), pa.array(counts[1, part])], ["slot", "others", "toxic"])
 
     partial = rows.select("text", "label").mapInArrow(releasing(run), "slot bigint, others bigint, toxic bigint")
     return partial.groupBy("slot").agg(F.sum("others").alias("others"), F.sum("toxic").alias("toxic"))
@@ -117,13 +128,13 @@ def _features(rows: DataFrame, orders: tuple[int, ...], slots: np.ndarray) -> Da
     wanted[slots] = True
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            lists: list[np.ndarray] = [np.zeros(0, np.int64)] * batch.num_rows
-            for first, text, slot in present([t or "" for t in batch.column(0).to_pylist()], orders, wanted):
+        for some in (part for batch in batches for _, part in _some_rows(batch)):
+            lists: list[np.ndarray] = [np.zeros(0, np.int64)] * some.num_rows
+            for first, text, slot in present([t or "" for t in some.column(0).to_pylist()], orders, wanted):
                 cuts = np.searchsorted(text, np.arange(text.max() + 2)) if len(text) else [0]
                 for i in range(len(cuts) - 1):
                     lists[first + i] = slot[cuts[i] : cuts[i + 1]]
-            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(lists, pa.list_(pa.int64()))], ["label", "slots"])
+            yield pa.RecordBatch.from_arrays([some.column(1), pa.array(lists, pa.list_(pa.int64()))], ["label", "slots"])
 
     return rows.select("text", "label").mapInArrow(releasing(run), "label int, slots array<bigint>")
 
@@ -207,9 +218,10 @@ def score(docs: DataFrame, model: ToxicityModel, text_column: str = "text", name
         table, wanted = _table(slots, weights)
         for batch in batches:
             margin = np.full(batch.num_rows, model.intercept)
-            texts = [t or "" for t in batch.column(batch.num_columns - 1).to_pylist()]
-            for first, text, slot in present(texts, model.orders, wanted):
-                np.add.at(margin, first + text, table[slot])
+            for at, rows in _some_rows(batch):
+                texts = [t or "" for t in rows.column(rows.num_columns - 1).to_pylist()]
+                for first, text, slot in present(texts, model.orders, wanted):
+                    np.add.at(margin, at + first + text, table[slot])
             scores = 1 / (1 + np.exp(-np.clip(margin, -60, 60)))
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(scores)], names=[*kept, name])
 

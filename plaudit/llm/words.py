@@ -25,6 +25,7 @@ BYTE_VALUE[ord("A") : ord("Z") + 1] = BYTE_VALUE[ord("a") : ord("z") + 1]
 _BASE = 0x9E3779B97F4A7C15 | 1
 _BASE_INVERSE = pow(_BASE, -1, 2**64)
 CHUNK_BYTES = 1 << 20
+LEAST_POWERS = 1 << 12
 
 _powers: dict[int, np.ndarray] = {}
 
@@ -33,7 +34,8 @@ def powers(base: int, n: int) -> np.ndarray:
     """base^0 .. base^(n-1) modulo 2^64, kept between calls."""
     known = _powers.get(base)
     if known is None or len(known) < n:
-        size = max(n, CHUNK_BYTES + 1)
+        # As many as are needed, in doubling steps: every worker keeps them for each base.
+        size = 1 << int(max(n, LEAST_POWERS) - 1).bit_length()
         known = np.full(size, base, np.uint64)
         known[0] = 1
         known = np.cumprod(known, dtype=np.uint64)
