@@ -87,6 +87,20 @@ def test_fingerprints_of_near_copies_around_512_characters(spark):
     assert np.median(across) > 0.4 and np.mean(across) > 0.9 * np.mean(inside)
 
 
+def test_fingerprints_hand_on_the_digests_of_the_next_row(spark):
+    words = ["Żółw", "né😀 слово", "文書です。", "ข้อความ ไทย", "a.b\nc", ""]
+    docs = spark.createDataFrame([(i % 7 or None, " ".join(words[j % 6] for j in range(i, i * 3))) for i in range(20)], "doc_id long, text string")
+    rows = fingerprints.with_next(docs, "doc_id", "text", {"own": fingerprints.digests})
+    assert rows.count() == 20
+    assert rows.filter(~F.col("own").eqNullSafe(fingerprints.digests(F.col("text")))).isEmpty()
+    assert rows.filter(~F.col("next_own").eqNullSafe(fingerprints.digests(F.col("next_text")))).isEmpty()
+    # Every code point is a letter or not as it is by the scripts alone.
+    points = spark.range(0x110000).filter("id < 55296 OR id > 57343")
+    letter = F.decode(F.unhex(F.lpad(F.hex("id"), 8, "0")), "UTF-32")
+    whole = rf"[\p{{L}}\p{{M}}&&[^{fingerprints.UNSPACED}]]"
+    assert points.filter(letter.rlike(whole) != letter.rlike(fingerprints.LETTER)).isEmpty()
+
+
 def test_fingerprints_line_up_again_after_an_inserted_word(spark):
     letters = random.Random(2)
     word = lambda: "".join(letters.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(letters.randint(2, 9)))
@@ -357,6 +371,38 @@ def test_toxicity_on_the_held_out_fold(spark, odd, none):
     assert toxicity.score(odd, model).count() == len(ODD) and toxicity.score(none, model).count() == 0
 
 
+def test_toxicity_holds_some_rows_at_a_time(monkeypatch):
+    import pyarrow as pa
+
+    seen, texts = [], [f"text {i} " * (i % 5) for i in range(1300)]
+
+    class Rows:
+        """Takes the function that a frame would be given."""
+
+        def select(self, *_):
+            return self
+
+        def mapInArrow(self, run, _):
+            self.run = run
+            return self
+
+    def watched(texts, *how, present=toxicity.present):
+        seen.append(len(texts))
+        return present(texts, *how)
+
+    monkeypatch.setattr(toxicity, "present", watched)
+    rows = Rows()
+    slots = np.unique([s for _, _, found in toxicity.present(texts, (4,)) for s in found])
+    toxicity._features(rows, (4,), slots)
+    seen.clear()
+    batch = pa.RecordBatch.from_arrays([pa.array(texts), pa.array([i % 2 for i in range(1300)], pa.int32())], ["text", "label"])
+    out = [r for part in rows.run(iter([batch])) for r in part.to_pylist()]
+    assert max(seen) <= 512 and sum(seen) == 1300
+    assert [r["label"] for r in out] == [i % 2 for i in range(1300)]
+    alone = {i: sorted(found.tolist()) for i in range(1300) for _, _, found in toxicity.present(texts[i : i + 1], (4,))}
+    assert all(sorted(r["slots"]) == alone[i] for i, r in enumerate(out))
+
+
 def test_pipeline_stages_take_effect(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     model = toxicity.train_on_labels(docs, spark.read.parquet(f"{SMALL}/labels.parquet"))

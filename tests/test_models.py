@@ -97,3 +97,26 @@ def test_areas_match_pairs_and_curve(spark):
     alone = ranked_areas(df.filter("label = 1"), "score", "label").first()
     assert alone.auc_roc is None and alone.n_negative == 0
     assert ranked_areas(df.limit(0), "score", "label").first().auc_pr is None
+
+
+def test_votes_are_those_of_the_reviews_which_are_not_written(spark, tmp_path):
+    from plaudit.plans.workspace import Workspace
+
+    tables = {
+        "orders": ([(0, 1), (1, 1), (2, 2), (2, 2), (3, 0), (None, 0)], "o_orderkey long, o_custkey long"),
+        "lineitem": (
+            [(0, 1, 1, 1, 5.0, 0.05), (0, 1, 1, 2, 25.0, 0.02), (1, 1, 1, 1, None, 0.01), (2, 1, 1, 1, 50.0, None), (9, 1, 1, 1, 1.0, 0.1)],
+            "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_discount double",
+        ),
+        # Order 1 falls on a document number that occurs twice.
+        "documents": ([(0, "x"), (1, "y"), (1, "z"), (None, "w")], "doc_id long, text string"),
+    }
+    for name, (data, schema) in tables.items():
+        df = spark.createDataFrame(data, schema)
+        if name == "lineitem":
+            df = df.withColumn("l_shipdate", F.lit("2000-01-01").cast("timestamp_ntz"))
+        df.write.parquet(str(tmp_path / f"{name}.parquet"))
+    w = Workspace(spark, str(tmp_path))
+    found = sorted(w.votes.collect(), key=str)
+    assert "reviews" not in vars(w)
+    assert len(found) == 6 and found == sorted(w.reviews.select("user_id", "useful").collect(), key=str)
