@@ -9,7 +9,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from plaudit.operators.embedding import _neighbour_sums, fast_rp
+from plaudit.operators.embedding import PART_VERTICES, _bundled, _neighbour_sums, fast_rp, pair_products
 from plaudit.operators.graph import reviewed
 from plaudit.operators.ranking import average_ranks, exact_percentiles, spearman, value_positions
 from plaudit.operators.sampling import dense_index, sample_rows, stratified_split
@@ -203,3 +203,34 @@ def test_vectors_travel_once_per_step_and_not_as_sums_by_task(spark):
     assert {r.id: r.v for r in found.collect()} == {"a": [0.0, 1.0], "b": [1.0, -1.0]}
     plan = found._jdf.queryExecution().sparkPlan().toString()
     assert plan.rindex("Aggregate(") < plan.index("REPARTITION_BY_COL")
+
+
+def test_a_vector_is_dealt_once_to_a_part_that_sums_many_of_its_neighbours(spark):
+    steps = spark.range(4000).select(F.concat(F.lit("a"), F.col("id")).alias("src"), F.lit("hub").alias("dst"))
+    parts = spark.sparkContext.defaultParallelism
+    bundles = _bundled(steps, HotKeys("dst", ()), 4001)
+    assert bundles.count() <= parts
+    assert bundles.agg(F.sum(F.size("ids"))).first()[0] == 4000
+    # The list of a hub is cut, and no part holds more vertices than it may.
+    cut = _bundled(steps, HotKeys("dst", ("hub",), 4), 4001)
+    assert parts < cut.count() <= 4 * parts and cut.agg(F.sum(F.size("ids"))).first()[0] == 4000
+    assert _bundled(steps, HotKeys("dst", ()), 20 * PART_VERTICES).agg(F.count_distinct("part")).first()[0] == 20
+
+
+def test_products_of_pairs_are_made_where_one_end_lies(spark):
+    pairs = spark.range(600).select(
+        F.when(F.col("id") % 3 == 0, "hub").otherwise(F.concat(F.lit("u"), F.col("id") % 50)).alias("u"),
+        F.when(F.col("id") % 4 == 0, "mall").otherwise(F.concat(F.lit("b"), F.col("id") % 70)).alias("b"),
+        "id",
+    )
+    pairs = pairs.unionByName(spark.createDataFrame([(None, "b1", -1), ("u1", None, -2), ("u1", "gone", -3)], "u string, b string, id long"))
+    ends = pairs.select(F.col("u").alias("id")).union(pairs.select("b")).distinct().filter("id <> 'gone'")
+    vectors = cut_lineage(ends.select("id", F.array(F.length("id") * F.lit(0.5), F.xxhash64("id") % 7 * F.lit(1.0)).alias("embedding")))
+    known = {r.id: r.embedding for r in vectors.collect()}
+    wanted = {(r.u, r.b, r.id): [x * y for x, y in zip(known[r.u], known[r.b])] for r in pairs.collect() if r.u in known and r.b in known}
+    cuts = ((1.0, 1.5), (-3.0, 0.0, 6.0))
+    binned = {k: [sum(c < x for c in cut) for cut, x in zip(cuts, v)] for k, v in wanted.items()}
+    for limits in ({}, {"share": 0.1, "min_rows": 50}):
+        found = pair_products(pairs, vectors, "u", "b", "p", **limits).collect()
+        assert len(found) == 600 and {(r.u, r.b, r.id): r.p for r in found} == wanted
+        assert {(r.u, r.b, r.id): r.p for r in pair_products(pairs, vectors, "u", "b", "p", cuts, **limits).collect()} == binned
