@@ -95,3 +95,19 @@ def test_audience_recommendations_reach_every_user_without_a_product(spark, circ
     # Whoever has not been everywhere in their circle gets something.
     open_users = {u for u in {u for u, _ in known} if sum(a == u for a, _ in known) < 20}
     assert {r.user_id for r in rows} == open_users
+
+
+def test_pairs_are_stored_with_a_byte_per_entry_and_scored_in_the_same_bins(spark, circles, monkeypatch):
+    stored = {}
+
+    def seen(df, label="stage"):
+        stored[label] = df.dtypes
+        return cut_lineage(df, label)
+
+    monkeypatch.setattr(links, "cut_lineage", seen)
+    model = links.train_links(circles, dimension=16, trees=3, depth=3)
+    assert dict(stored["featured"])["features"] == "array<tinyint>"
+    assert len(model.cuts) == 16 and all(0 < len(c) <= 31 for c in model.cuts)
+    features = [r.features.toArray() for r in model.score(circles.reviewed.select(*links.PAIR).distinct()).collect()]
+    assert all((f == f.round()).all() and f.min() >= 0 and f.max() <= 31 for f in features)
+    assert len({tuple(f) for f in features}) > 10
