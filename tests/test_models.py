@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from plaudit.operators.attribution import forest_nodes, path_contributions
+from plaudit.operators.attribution import _tabled, _walked, forest_nodes, path_contributions
 from plaudit.operators.ranking import ranked_areas
 from plaudit.plans import usefulness as u
 
@@ -120,3 +120,17 @@ def test_votes_are_those_of_the_reviews_which_are_not_written(spark, tmp_path):
     found = sorted(w.votes.collect(), key=str)
     assert "reviews" not in vars(w)
     assert len(found) == 6 and found == sorted(w.reviews.select("user_id", "useful").collect(), key=str)
+
+
+def test_leaves_know_what_the_way_to_them_adds():
+    # A root that asks feature 1; its left child asks feature 0, then feature 1 again; the right child is a leaf.
+    tree = {"root": 0, "feature": np.array([1, 0, -1, 1, -1, -1, -1]), "threshold": np.array([5.0, 2.0, np.nan, 1.0, np.nan, np.nan, np.nan]),
+            "left": np.array([1, 3, 2, 4, 4, 5, 6]), "right": np.array([2, 6, 2, 5, 4, 5, 6]), "value": np.array([4.0, 3.0, 8.0, 2.0, 1.0, 2.5, 7.0])}
+    leaf = {"root": 0, "feature": np.array([-1]), "threshold": np.array([np.nan]), "left": np.array([0]), "right": np.array([0]), "value": np.array([6.0])}
+    tables = _tabled([(0.5, tree), (2.0, leaf)], 2)
+    assert [depth for _, depth, _ in tables] == [3, 0]
+    x = np.array([[2.0, 1.0], [2.0, 5.0], [np.nan, 0.0], [0.0, np.nan], [0.0, 6.0]])
+    bias, added = _walked(x, tables)
+    assert bias == 0.5 * 4.0 + 2.0 * 6.0
+    # Means along the way: 4, 3, 2, then 1 or 2.5; 4, 3, 7; 4, 8.
+    assert added.tolist() == [[-0.5, -1.0], [-0.5, -0.25], [2.0, -0.5], [0.0, 2.0], [0.0, 2.0]]
